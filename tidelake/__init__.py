@@ -3,3 +3,10 @@
 Every public operator takes and returns DataFrames; nothing is collected, and
 Catalyst plans the whole job.  See README.md for the map of the package.
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run inside tasks travel with the job, so executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

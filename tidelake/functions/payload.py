@@ -8,6 +8,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tidelake.schemas import SENSITIVE_KEY_PATTERN
 
@@ -34,7 +35,7 @@ def canonical_text(raw: str | None, redact: bool = True) -> str | None:
 
 
 def _batch_canonical(redact: bool):
-    @F.arrow_udf("string")
+    @F.arrow_udf(StringType())
     def canonical(raws: pa.Array) -> pa.Array:
         return pa.array([canonical_text(raw, redact) for raw in raws.to_pylist()], pa.string())
 

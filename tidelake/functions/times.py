@@ -36,7 +36,7 @@ def iso_timestamp(value: Column) -> Column:
 
 def iso_date(value: Column) -> Column:
     text = F.regexp_replace(value, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
-    return F.when(value.rlike(_DATE), F.try_to_date(text, F.lit("yyyy-MM-dd")))
+    return F.when(value.rlike(_DATE), F.try_to_date(text, "yyyy-MM-dd"))
 
 
 def midnight(day: Column) -> Column:

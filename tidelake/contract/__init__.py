@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["merging", "scalars", "feeds"]
+_MODULES = ["merging", "scalars", "feeds", "audits"]
 
 
 def load_queries():

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from tidelake.schemas import IDLE_RUN_THRESHOLD, STALE_INTERVAL_FACTOR, STATUS_O
 
 
 def _mentions(text: Column, *markers: str) -> Column:
-    return text.rlike("|".join(markers))
+    return reduce(Column.__or__, [F.contains(text, F.lit(marker)) for marker in markers])
 
 
 def schedule_status(text: Column, home_score: Column, away_score: Column) -> Column:

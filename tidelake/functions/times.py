@@ -8,39 +8,27 @@ from pyspark.sql import functions as F
 from tidelake.functions.text import not_blank, strip
 from tidelake.schemas import MAX_DAYS_PER_RUN, SEASON_START_MONTH
 
-_DATE = r"^\d{4}-?\d{2}-?\d{2}$"
+_DATE = r"^(\d{4}-\d{2}-\d{2}|\d{8})$"
 _INSTANT = (
     r"^(\d{4}-\d{2}-\d{2}|\d{8})"
     r"([T ]\d{2}(:?\d{2}(:?\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 )
-_PLAIN = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})?$"
 
 
-def iso_timestamp(value: Column) -> Column:
+def iso_timestamp(text: Column) -> Column:
     """ISO-8601 text to an instant; zone-less text is UTC, anything else is null.
 
-    The usual spelling goes straight to Spark's cast.  Short forms (no minutes,
-    no seconds, no separators, decimal comma) are spelled out first.
+    Most spellings go straight to Spark's cast.  Only those it does not take (no
+    seconds before a zone, no separators, decimal comma) are spelled out first.
     """
-    text = value
     spelled = F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})", "$1-$2-$3")
     spelled = F.regexp_replace(spelled, r"^(.{10}[T ]\d{2})(\d{2})", "$1:$2")
     spelled = F.regexp_replace(spelled, r"^(.{10}[T ]\d{2}:\d{2})(\d{2})", "$1:$2")
     spelled = F.regexp_replace(spelled, r"^(.{10}[T ]\d{2})(?=$|[Z+-])", "$1:00")
     spelled = F.regexp_replace(spelled, r"^(.{10}[T ]\d{2}:\d{2})(?=$|[Z+-])", "$1:00")
     spelled = F.regexp_replace(spelled, ",", ".")
-    return F.when(text.rlike(_PLAIN), F.try_to_timestamp(text)).when(
-        text.rlike(_INSTANT), F.try_to_timestamp(spelled)
-    )
-
-
-def iso_date(value: Column) -> Column:
-    text = F.regexp_replace(value, r"^(\d{4})(\d{2})(\d{2})$", "$1-$2-$3")
-    return F.when(value.rlike(_DATE), F.try_to_date(text, "yyyy-MM-dd"))
-
-
-def midnight(day: Column) -> Column:
-    return day.cast("timestamp")
+    read = F.coalesce(F.try_to_timestamp(text), F.try_to_timestamp(spelled))
+    return F.when(text.rlike(_INSTANT), read)
 
 
 def schedule_time(timestamp: Column, day: Column, clock: Column) -> tuple[Column, Column]:
@@ -51,25 +39,20 @@ def schedule_time(timestamp: Column, day: Column, clock: Column) -> tuple[Column
     """
     stamp = not_blank(strip(timestamp))
     time = not_blank(F.regexp_replace(strip(clock), "Z$", ""))
-    date = iso_date(day)
-    at = (
-        F.when(stamp.isNotNull(), iso_timestamp(stamp))
-        .when(time.isNotNull(), iso_timestamp(F.concat(date.cast("string"), F.lit("T"), time)))
-        .otherwise(midnight(date))
-    )
+    scheduled = F.when(day.rlike(_DATE), F.concat_ws("T", day, time))
     precision = (
         F.when(stamp.isNotNull(), "timestamp")
         .when(time.isNotNull(), "provider_utc_time")
         .otherwise("date_only")
     )
-    return at, precision
+    return iso_timestamp(F.coalesce(stamp, scheduled)), precision
 
 
 def game_time(instant: Column, day: Column) -> tuple[Column, Column]:
     """(instant, precision) where a ``T`` in the text marks a clock time."""
     text = F.coalesce(not_blank(instant), not_blank(day))
     timed = F.contains(text, F.lit("T"))
-    at = F.when(timed, iso_timestamp(text)).otherwise(midnight(iso_date(F.substring(text, 1, 10))))
+    at = iso_timestamp(F.when(timed, text).otherwise(F.substring(text, 1, 10)))
     return at, F.when(timed, "timestamp").otherwise("date_only")
 
 

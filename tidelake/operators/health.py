@@ -10,7 +10,8 @@ from tidelake.functions.times import age_text
 from tidelake.operators.skew import SEGMENT_ROWS, join_per_key, segment, segmented, so_far
 from tidelake.schemas import HEALTH_ENTRY, UNHEALTHY_STATUSES
 
-_SUCCEEDED = F.col("status").isin("ok", "partial")
+def _succeeded() -> Column:
+    return F.col("status").isin("ok", "partial")
 
 
 def run_outcome(units: DataFrame) -> DataFrame:
@@ -57,15 +58,15 @@ def health_fold(runs: DataFrame, schedule: DataFrame | None = None) -> DataFrame
     """
     seq, status = F.col("seq"), F.col("status")
     ran, failed = status != "skipped", status == "error"
-    wrote = _SUCCEEDED & (F.col("added") > 0)
+    wrote = _succeeded() & (F.col("added") > 0)
     last = lambda condition: F.max(F.when(condition, seq))
     marks = runs.groupBy("job").agg(
         F.count("*").alias("_rows"),
         F.count_if(ran).alias("runs"),
         F.count_if(failed).alias("failures"),
         F.count_if(status == "partial").alias("degraded_runs"),
-        F.count_if(_SUCCEEDED).alias("_successes"),
-        last(_SUCCEEDED).alias("_success"),
+        F.count_if(_succeeded()).alias("_successes"),
+        last(_succeeded()).alias("_success"),
         last(wrote).alias("_wrote"),
         last(ran).alias("_run"),
         last(failed).alias("_failure"),
@@ -80,7 +81,7 @@ def health_fold(runs: DataFrame, schedule: DataFrame | None = None) -> DataFrame
     at = lambda mark, value: F.max(F.when(seq == F.col(mark), F.col(value)))
     ends = tail.groupBy("job").agg(
         F.count_if(failed & (seq > F.col("_success"))).alias("_failed_since"),
-        F.count_if(_SUCCEEDED & (seq > F.col("_wrote"))).alias("_empty_since"),
+        F.count_if(_succeeded() & (seq > F.col("_wrote"))).alias("_empty_since"),
         at("_run", "ts").alias("last_run"),
         at("_success", "ts").alias("last_success"),
         at("_failure", "ts").alias("last_failure"),
@@ -223,8 +224,8 @@ def run_streaks(runs: DataFrame, rows: int = SEGMENT_ROWS) -> DataFrame:
     both are carried across segments, so a job's history may be of any length.
     """
     failed = (F.col("status") == "error").cast("bigint")
-    wrote = _SUCCEEDED & (F.col("added") > 0)
-    empty = (_SUCCEEDED & (F.col("added") <= 0)).cast("bigint")
+    wrote = _succeeded() & (F.col("added") > 0)
+    empty = (_succeeded() & (F.col("added") <= 0)).cast("bigint")
     facts = runs.select("job", "seq", "status", "added")
     result = segmented(
         facts,
@@ -234,7 +235,7 @@ def run_streaks(runs: DataFrame, rows: int = SEGMENT_ROWS) -> DataFrame:
         local=lambda run: {
             "_failed": F.sum(failed).over(so_far(run)),
             "_empty": F.sum(empty).over(so_far(run)),
-            "_failed_reset": F.max(F.when(_SUCCEEDED, F.col("_failed"))).over(so_far(run)),
+            "_failed_reset": F.max(F.when(_succeeded(), F.col("_failed"))).over(so_far(run)),
             "_empty_reset": F.max(F.when(wrote, F.col("_empty"))).over(so_far(run)),
         },
         summary={

@@ -58,8 +58,17 @@ _ODDS_FIELDS = (
 )
 
 
+def parsed_once(items: DataFrame, name: str, json_text: Column, fields: str) -> DataFrame:
+    """Add the parsed JSON as a struct column.
+
+    Going through a one-element explode keeps the parse a step of its own:
+    otherwise each of the many field lookups above it would parse the text anew.
+    """
+    return items.select("*", F.explode(F.array(F.from_json(json_text, fields))).alias(name))
+
+
 def _parsed(items: DataFrame, fields: str) -> DataFrame:
-    return items.withColumn("_item", F.from_json("payload", fields))
+    return parsed_once(items, "_item", F.col("payload"), fields)
 
 
 def _reason(*checks: tuple[Column, str]) -> Column:
@@ -167,16 +176,11 @@ def _constant_by(key: Column, choices: dict[str, str]) -> Column:
 
 def normalize_balldontlie(items: DataFrame) -> DataFrame:
     """Games of four sports; the row's ``sport_code`` picks the constants and the layout."""
-    parsed = _parsed(items, _GAME_FIELDS).withColumns(
-        {
-            "_home": F.from_json("_item.home_team", _TEAM_FIELDS),
-            "_away": F.from_json(
-                F.when(is_set(F.col("_item.visitor_team")), F.col("_item.visitor_team")).otherwise(
-                    F.col("_item.away_team")
-                ),
-                _TEAM_FIELDS,
-            ),
-        }
+    parsed = _parsed(items, _GAME_FIELDS)
+    visitor, away_team = F.col("_item.visitor_team"), F.col("_item.away_team")
+    parsed = parsed_once(parsed, "_home", F.col("_item.home_team"), _TEAM_FIELDS)
+    parsed = parsed_once(
+        parsed, "_away", F.when(is_set(visitor), visitor).otherwise(away_team), _TEAM_FIELDS
     )
     item, code = F.col("_item"), F.col("sport_code")
     league_matches = code == "epl"

@@ -48,7 +48,7 @@ def pacing_schedule(requests: DataFrame, spacing: Column, rows: int = SEGMENT_RO
     asked = requests.select("provider", "seq", "ts").withColumns(
         {
             "_at": F.unix_micros(F.col("ts").cast("timestamp")),
-            "_step": (spacing * 1_000_000).cast("bigint"),
+            "_step": (spacing.cast("double") * 1_000_000).cast("bigint"),
         }
     )
     paced = segmented(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_MODULES = ["merging", "scalars", "feeds", "audits"]
+_MODULES = ["merging", "scalars", "feeds", "audits", "importing", "landing"]
 
 
 def load_queries():

@@ -99,21 +99,25 @@ def scan_parquet_rows(spark: SparkSession, root: str) -> DataFrame:
     return counted.select(relative_key(F.col("path"), root).alias("key"), F.col("count").alias("rows"))
 
 
+def parse_provenance(documents: DataFrame, body: str = "body") -> DataFrame:
+    """Provenance records from JSON documents; unreadable and non-object ones are left out."""
+    passed = [c for c in documents.columns if c != body]
+    return (
+        documents.where(F.json_object_keys(body).isNotNull())
+        .select(*passed, F.from_json(body, ARTIFACT.simpleString()).alias("r"))
+        .select(*passed, "r.*")
+    )
+
+
 def read_provenance(spark: SparkSession, root: str) -> DataFrame:
     """Every readable provenance record below a root, with the file it came from."""
-    shape = T.StructType([*ARTIFACT.fields, T.StructField("_corrupt_record", T.StringType())])
-    records = (
-        spark.read.schema(shape)
-        .option("multiLine", True)
-        .option("recursiveFileLookup", True)
+    documents = (
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", PROVENANCE_FILE)
-        .json(root)
-    )
-    return (
-        records.where(F.col("_corrupt_record").isNull())
-        .drop("_corrupt_record")
-        .withColumn("record_key", relative_key(F.col("_metadata.file_path"), root))
+        .text(root, wholetext=True)
     )
+    key = relative_key(F.col("_metadata.file_path"), root)
+    return parse_provenance(documents.select(F.col("value").alias("body"), key.alias("record_key")))
 
 
 def read_manifest(spark: SparkSession, root: str, dataset: str) -> DataFrame:

@@ -120,6 +120,7 @@ def stream_bulk_import(
     """JSON list dumps into immutable versions; a changed file becomes a new version."""
     files = (
         spark.readStream.format("binaryFile")
+        .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(landing)
     )
@@ -129,7 +130,7 @@ def stream_bulk_import(
             F.col("path").alias("source_path"),
             F.sha2("content", 256).alias("sha256"),
             F.col("modificationTime").alias("fetched"),
-            F.regexp_replace(F.decode("content", F.lit("UTF-8")), "^\ufeff", "").alias("body"),
+            F.regexp_replace(F.decode("content", "UTF-8"), "^\ufeff", "").alias("body"),
         )
         described = landed.select(
             F.col("source_path").alias("seq"),

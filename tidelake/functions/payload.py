@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import re
-from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -14,36 +13,42 @@ from pyspark.sql.types import StringType
 from tidelake.schemas import SENSITIVE_KEY_PATTERN
 
 
-@lru_cache(maxsize=10_000)
-def _is_sensitive(name: str) -> bool:
-    """Field names repeat from payload to payload, so most are looked up, not matched."""
-    return re.search(SENSITIVE_KEY_PATTERN, name) is not None
-
-
-def _without_secrets(value):
-    if isinstance(value, dict):
-        return {k: _without_secrets(v) for k, v in value.items() if not _is_sensitive(k)}
+def _without_secrets(value, names: dict[str, bool]):
+    """The value without credential-like fields; ``names`` remembers the verdict on each name."""
     if isinstance(value, list):
-        return [_without_secrets(v) for v in value]
-    return value
-
-
-def canonical_text(raw: str | None, redact: bool = True) -> str | None:
-    """Sorted, compact, ASCII-escaped JSON of one payload; null if it is not JSON."""
+        return [_without_secrets(member, names) for member in value]
+    if not isinstance(value, dict):
+        return value
+    kept = {}
+    for name, member in value.items():
+        if name not in names:
+            names[name] = re.search(SENSITIVE_KEY_PATTERN, name) is not None
+        if not names[name]:
+            kept[name] = _without_secrets(member, names)
+    return kept
+
+
+def canonical_text(raw: str | None, names: dict[str, bool] | None) -> str | None:
+    """Sorted, compact, ASCII-escaped JSON of one payload; null if it is not JSON.
+
+    ``names`` as for redaction; none means nothing is redacted.
+    """
     if raw is None:
         return None
     try:
         value = json.loads(raw)
     except (ValueError, RecursionError):
         return None
-    kept = _without_secrets(value) if redact else value
+    kept = value if names is None else _without_secrets(value, names)
     return json.dumps(kept, sort_keys=True, separators=(",", ":"))
 
 
 def _batch_canonical(redact: bool):
     @F.arrow_udf(StringType())
     def canonical(raws: pa.Array) -> pa.Array:
-        return pa.array([canonical_text(raw, redact) for raw in raws.to_pylist()], pa.string())
+        # Field names repeat from payload to payload: match each once per batch.
+        names: dict[str, bool] | None = {} if redact else None
+        return pa.array([canonical_text(raw, names) for raw in raws.to_pylist()], pa.string())
 
     # Declared non-deterministic so that the optimizer never evaluates it twice, once
     # in a projection and again in a filter pushed below it.

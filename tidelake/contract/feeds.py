@@ -27,7 +27,8 @@ def _base(spark, sf) -> DataFrame:
     joined = o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(
         na, F.col("c_nationkey") == F.col("n_nationkey")
     )
-    return joined.select(
+    # A small table is one file and so one task; spread it as many landed files would be.
+    return joined.repartition("o_orderkey").select(
         F.col("o_orderkey").alias("k"),
         F.col("o_custkey").alias("cust"),
         F.col("o_orderstatus").alias("st"),

@@ -61,7 +61,6 @@ def health_fold(runs: DataFrame, schedule: DataFrame | None = None) -> DataFrame
     wrote = _succeeded() & (F.col("added") > 0)
     last = lambda condition: F.max(F.when(condition, seq))
     marks = runs.groupBy("job").agg(
-        F.count("*").alias("_rows"),
         F.count_if(ran).alias("runs"),
         F.count_if(failed).alias("failures"),
         F.count_if(status == "partial").alias("degraded_runs"),
@@ -72,14 +71,17 @@ def health_fold(runs: DataFrame, schedule: DataFrame | None = None) -> DataFrame
         last(failed).alias("_failure"),
         F.max(seq).alias("_last"),
     )
-    keep = ["_success", "_wrote", "_run", "_failure", "_last"]
-    is_mark = F.coalesce(seq.isin(*[F.col(name) for name in keep]), F.lit(False))
+    ends_at = ["_success", "_wrote", "_run", "_failure", "_last"]
+    is_mark = F.coalesce(seq.isin(*[F.col(name) for name in ends_at]), F.lit(False))
     facts = runs.select("job", "seq", "ts", "status", "fetched", "added", "detail")
-    tail = join_per_key(facts, marks.select("job", "_rows", *keep), ["job"], "_rows", seq).where(
+    tail = join_per_key(facts, marks, ["job"], seq).where(
         is_mark | (seq > F.col("_success")) | (seq > F.col("_wrote"))
     )
     at = lambda mark, value: F.max(F.when(seq == F.col(mark), F.col(value)))
-    ends = tail.groupBy("job").agg(
+    # Every job's last run is in its tail, so the counters of the first pass ride along.
+    ride = ["runs", "failures", "degraded_runs", "_successes", "_success", "_wrote"]
+    entries = tail.groupBy("job").agg(
+        *[F.max(name).alias(name) for name in ride],
         F.count_if(failed & (seq > F.col("_success"))).alias("_failed_since"),
         F.count_if(_succeeded() & (seq > F.col("_wrote"))).alias("_empty_since"),
         at("_run", "ts").alias("last_run"),
@@ -93,7 +95,6 @@ def health_fold(runs: DataFrame, schedule: DataFrame | None = None) -> DataFrame
         at("_run", "fetched").alias("last_fetched"),
         at("_run", "added").alias("last_added"),
     )
-    entries = marks.join(ends, "job")
     if schedule is not None:
         entries = entries.join(schedule.select("job", "interval_seconds"), "job", "full")
     else:
@@ -257,8 +258,9 @@ def run_streaks(runs: DataFrame, rows: int = SEGMENT_ROWS) -> DataFrame:
     )
 
     def streak(name: str) -> Column:
-        count = F.col(f"_{name}_0") + F.col(f"_{name}")
-        reset = F.greatest(F.col(f"_{name}_mark_0"), F.col(f"_{name}_0") + F.col(f"_{name}_reset"))
+        before = F.coalesce(f"_{name}_0", F.lit(0))
+        count = before + F.col(f"_{name}")
+        reset = F.greatest(F.col(f"_{name}_mark_0"), before + F.col(f"_{name}_reset"))
         return count - F.coalesce(reset, F.lit(0))
 
     return result.select(

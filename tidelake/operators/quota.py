@@ -66,8 +66,9 @@ def pacing_schedule(requests: DataFrame, spacing: Column, rows: int = SEGMENT_RO
             {"_top_before": F.max(F.col("_top") - F.col("_d") * F.col("_ahead")).over(before)},
         ],
     )
-    released = step * (F.col("_ahead") + F.col("_i")) + F.greatest(
-        F.col("_top_before"), F.col("_lead") - step * F.col("_ahead")
+    ahead = F.coalesce("_ahead", F.lit(0))
+    released = step * (ahead + F.col("_i")) + F.greatest(
+        F.col("_top_before"), F.col("_lead") - step * ahead
     )
     return paced.select(
         "provider",

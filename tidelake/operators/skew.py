@@ -2,22 +2,24 @@
 
 * ``first_per_key`` / ``first_k_per_key`` keep only the needed rows on the map
   side, before the shuffle.
-* ``join_per_key`` spreads the rows of heavy keys over many tasks.  A key is heavy
-  when it holds more than 1/HEAVY_SHARE of all rows, so there can be at most
-  HEAVY_SHARE of them: the broadcast list has a proven bound.
-* ``segmented`` evaluates running values over long groups in segments of at most
-  SEGMENT_ROWS sequence numbers and carries the totals across segments.
+* ``heavy_keys`` finds the keys that hold more than 1/HEAVY_SHARE of all rows.
+  There can be at most HEAVY_SHARE of them, which proves the size of the list
+  that is broadcast; any other key is small next to one task's share.
+* ``join_per_key`` spreads the rows of heavy keys over many tasks.
+* ``segmented`` evaluates running values; heavy keys are cut into segments and
+  the totals carried across them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-HEAVY_SHARE = 1000
+HEAVY_SHARE = 10_000
 SALTS = 256
 SEGMENT_ROWS = 1_000_000
 _MAP_SIDE_LIMIT = 1000  # largest k for which Spark prunes ranked rows before the shuffle
@@ -50,35 +52,33 @@ def first_k_per_key(
     return ranked.withColumn(rank, F.col(rank).cast("bigint"))
 
 
+def heavy_keys(df: DataFrame, keys: Sequence[str], heavy: str) -> DataFrame:
+    """Broadcast list of the keys above the share, each with a true column ``heavy``.
+
+    Reads the key columns only, with partial counts.
+    """
+    named = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    sizes = df.where(named).groupBy(*keys).agg(F.count("*").alias("_size"))
+    total = sizes.agg(F.sum("_size").alias("n")).scalar()
+    above = sizes.where(F.col("_size") * HEAVY_SHARE > total)
+    return F.broadcast(above.select(*keys, F.lit(True).alias(heavy)))
+
+
 def join_per_key(
-    facts: DataFrame,
-    per_key: DataFrame,
-    keys: Sequence[str],
-    weight: str,
-    spread: Column,
-    how: str = "inner",
+    facts: DataFrame, per_key: DataFrame, keys: Sequence[str], spread: Column
 ) -> DataFrame:
-    """Equi-join many fact rows with one row per key, with no task owning a heavy key.
+    """Inner join of many fact rows with one row per key, with no task owning a heavy key.
 
-    ``weight`` names the column of ``per_key`` that counts the fact rows of the
-    key (dropped from the result); ``spread`` is any fact column that varies
-    within a key.  Where ``per_key`` is small, adaptive execution measures it
-    and broadcasts it anyway.
+    ``spread`` is any fact column that varies within a key.  Where ``per_key`` is
+    small, adaptive execution measures it and broadcasts it.
     """
     keys = list(keys)
-    total = per_key.agg(F.sum(weight).alias("n")).scalar()
-    heavy = per_key.where(F.col(weight) * HEAVY_SHARE > total).select(*keys).withColumn("_heavy", F.lit(True))
+    heavy = heavy_keys(facts, keys, "_heavy")
     salt = F.when(F.col("_heavy"), F.pmod(F.xxhash64(spread), F.lit(SALTS))).otherwise(F.lit(0))
-    left = (
-        facts.join(F.broadcast(heavy), keys, "left")
-        .withColumn("_salt", salt.cast("int"))
-        .drop("_heavy")
-    )
-    copies = F.when(F.col(weight) * HEAVY_SHARE > total, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    right = per_key.withColumn("_salt", F.explode(copies)).drop(weight)
-    return left.join(right, keys + ["_salt"], how).drop("_salt")
+    copies = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    left = facts.join(heavy, keys, "left").withColumn("_salt", salt.cast("int")).drop("_heavy")
+    right = per_key.join(heavy, keys, "left").withColumn("_salt", F.explode(copies)).drop("_heavy")
+    return left.join(right, [*keys, "_salt"]).drop("_salt")
 
 
 def segment(seq: Column | str, rows: int = SEGMENT_ROWS) -> Column:
@@ -97,23 +97,32 @@ def segmented(
 ) -> DataFrame:
     """Running values over groups of any length.
 
-    ``segment_number`` must grow with ``order``.  ``local(window)`` gives columns
-    over the ordered rows of one segment, ``summary`` folds a segment to one row,
-    and ``carry(window)`` gives, step by step, what each segment inherits from
-    those before it.  Only the summaries, one row per key and segment, are ever
-    ordered over a whole group.
+    ``segment_number`` must grow with ``order``; it cuts heavy keys, while any
+    other key is one segment.  ``local(window)`` gives columns over the ordered
+    rows of one segment, ``summary`` folds a segment to one row, and
+    ``carry(window)`` gives, step by step, what each segment inherits from those
+    before it; these columns are null where nothing is inherited.  Only the
+    summaries of heavy keys, one row per key and segment, are ever ordered over
+    a whole group.
     """
     keys = list(keys)
-    marked = df.withColumn("_segment", segment_number)
-    for name, column in local(W.partitionBy(*keys, "_segment").orderBy(*order)).items():
-        marked = marked.withColumn(name, column)
-    carried = marked.groupBy(*keys, "_segment").agg(*[c.alias(n) for n, c in summary.items()])
+    number = F.when(F.col("_heavy"), segment_number).otherwise(F.lit(0)).cast("bigint")
+    cut = df.join(heavy_keys(df, keys, "_heavy"), keys, "left").withColumn("_segment", number)
+
+    def marked(rows: DataFrame) -> DataFrame:
+        for name, column in local(W.partitionBy(*keys, "_segment").orderBy(*order)).items():
+            rows = rows.withColumn(name, column)
+        return rows
+
+    folded = marked(cut.where("_heavy")).groupBy(*keys, "_segment")
+    carried = folded.agg(*[c.alias(n) for n, c in summary.items()])
     before = W.partitionBy(*keys).orderBy("_segment").rowsBetween(W.unboundedPreceding, -1)
     inherited: list[str] = []
     for step in carry(before):
         carried = carried.withColumns(step)
         inherited.extend(step)
-    return marked.join(carried.select(*keys, "_segment", *inherited), [*keys, "_segment"]).drop("_segment")
+    handed_on = carried.select(*keys, "_segment", *inherited)
+    return marked(cut).join(handed_on, [*keys, "_segment"], "left").drop("_segment", "_heavy")
 
 
 def so_far(window: W) -> W:

@@ -32,8 +32,8 @@ def with_previous(
 ) -> DataFrame:
     """Number the rows of each key and give each the value of the row before it.
 
-    ``order`` starts with a timestamp; groups are cut by time into spans, so the
-    length of a key's history does not matter.
+    ``order`` starts with a timestamp; the histories of heavy keys are cut by time
+    into spans, so the length of a history does not matter.
     """
     return segmented(
         rows,
@@ -53,7 +53,7 @@ def with_previous(
         ],
     ).withColumns(
         {
-            version: F.col("_ahead") + F.col("_n"),
+            version: F.coalesce("_ahead", F.lit(0)) + F.col("_n"),
             previous: F.coalesce("_before", "_carried")[value],
         }
     ).drop("_n", "_before", "_ahead", "_carried")

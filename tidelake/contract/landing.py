@@ -298,7 +298,7 @@ def write_bulk_version(spark, sf):
     ).drop("sha", "n")
     ba.write_bulk_version(files, rows, root, "documents", ["part_lang"])
     again = ba.write_bulk_version(files, rows, root, "documents", ["part_lang"])
-    stored = spark.read.parquet(f"{root}/documents")
+    stored = lake.read_bulk(spark, root, "documents")
     return stored.select(
         F.concat(F.lit("lang="), "part_lang").alias("partition"), "version", "doc_id", "source_row_number",
         F.lit(again.added).alias("repeated"),

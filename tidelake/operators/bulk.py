@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,15 +86,18 @@ def refresh_outcome(summaries: DataFrame) -> DataFrame:
     )
 
 
-def row_count_mismatches(announced: DataFrame, stored_rows: DataFrame) -> DataFrame:
-    """Artifacts whose stored row count differs from what the import wrote.
+def row_count_mismatches(
+    announced: DataFrame, stored_rows: DataFrame, keys: Sequence[str] = ("version",)
+) -> DataFrame:
+    """Versions whose stored row count differs from what the import wrote.
 
-    ``announced``: version, rows.  ``stored_rows``: any rows with a version
-    column; they are counted with partial aggregates.
+    ``announced``: the keys of a version and its rows.  ``stored_rows`` are counted
+    with partial aggregates.
     """
-    found = stored_rows.groupBy("version").agg(F.count("*").alias("stored"))
+    keys = list(keys)
+    found = stored_rows.groupBy(*keys).agg(F.count("*").alias("stored"))
     return (
-        announced.join(found, "version", "left")
+        announced.join(found, keys, "left")
         .withColumn("stored", F.coalesce("stored", F.lit(0)))
         .where(F.col("stored") != F.col("rows"))
     )

@@ -11,7 +11,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tidelake.functions.text import safe_component
 from tidelake.operators.archive import VerificationError
-from tidelake.operators.bulk import ARTIFACT_KEY, new_artifacts, row_count_mismatches
+from tidelake.operators.bulk import new_artifacts, row_count_mismatches
 from tidelake.operators.catalog import (
     iso_text,
     manifest_lines,
@@ -29,7 +29,7 @@ from tidelake.schemas import (
     PARTITION_COLUMNS,
     SOURCE_FILE_PREFIX,
 )
-from tidelake.sources.lake import archive_path, path_exists, read_archive
+from tidelake.sources.lake import archive_path, is_layout, path_exists, read_archive, read_bulk
 
 ARTIFACTS_TABLE = f"{CATALOG_DIR}/artifacts"
 
@@ -62,7 +62,8 @@ def write_bulk_version(
 ) -> BulkResult:
     """Import dump files as immutable versions below ``root/dataset``.
 
-    ``files``: seq, dataset, partition, source_sha256, source_url,
+    ``part_columns`` are named ``part_<name>``, so that they never shadow a
+    publisher's column.  ``files``: seq, dataset, partition, source_sha256, source_url,
     source_media_type, source_filename, fetched_at (text), license_name,
     license_url, source_path.  ``rows``: publisher columns, ``part_columns``,
     source_path and the provenance columns.  Content a partition already holds is
@@ -81,10 +82,11 @@ def write_bulk_version(
             return BulkResult(attempted, 0, 0)
         chosen = new.select("source_path", version_of(F.col("source_sha256")).alias("version"))
         # One row per new file; adaptive execution sees its size before choosing the join.
-        data = rows.join(chosen, "source_path").drop("source_path")
+        data = rows.join(chosen, "source_path")
         layout = [*part_columns, "version"]
+        written = data.drop("source_path")
         (
-            data.hint("rebalance", *layout)
+            written.hint("rebalance", *layout)
             .sortWithinPartitions(*layout, "source_row_number")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -92,39 +94,44 @@ def write_bulk_version(
             .partitionBy(*layout)
             .parquet(path)
         )
-        stored = spark.read.parquet(path).join(chosen.select("version").distinct(), "version", "left_semi")
-        counted = stored.groupBy("version").agg(F.count("*").alias("rows"))
-        announced = data.groupBy("version").agg(F.count("*").alias("rows"))
-        if not row_count_mismatches(announced, stored).isEmpty():
-            raise VerificationError(f"row counts of {dataset} differ after writing")
-        records = (
-            new.withColumn("version", version_of(F.col("source_sha256")))
-            .join(counted, "version", "left")
-            .withColumn("_dir", F.concat_ws("/", "dataset", "partition", F.concat(F.lit("version="), "version")))
-            .select(
-                *ARTIFACT_KEY[:2],
-                "source_url",
-                "source_sha256",
-                "source_media_type",
-                F.concat(
-                    "_dir", F.lit(f"/{SOURCE_FILE_PREFIX}"), safe_component("source_filename")
-                ).alias("source_file"),
-                F.concat("_dir", F.lit("/data.parquet")).alias("data_file"),
-                F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
-                "fetched_at",
-                "license_name",
-                "license_url",
-                F.lit(None).cast("boolean").alias("source_pruned"),
-                F.lit(None).cast("string").alias("source_remote_key"),
-            )
-        )
-        write_provenance(records, base)
-        total = counted.agg(F.sum("rows")).first()[0] or 0
+        announced = data.groupBy("source_path", *layout).agg(F.count("*").alias("rows")).persist()
+        try:
+            stored = spark.read.schema(written.schema).parquet(path)
+            again = stored.join(announced.select(*layout).distinct(), layout, "left_semi")
+            if not row_count_mismatches(announced, again, layout).isEmpty():
+                raise VerificationError(f"row counts of {dataset} differ after writing")
+            total = announced.agg(F.sum("rows")).first()[0] or 0
+            # Last: once the records are written, asking for new artifacts finds none.
+            write_provenance(_records(new, announced), base)
+        finally:
+            announced.unpersist()
         return BulkResult(attempted, added, total)
     finally:
         new.unpersist()
 
 
+def _records(new: DataFrame, counted: DataFrame) -> DataFrame:
+    """Provenance of imported files; a file without rows counts zero."""
+    version = F.concat(F.lit("version="), version_of(F.col("source_sha256")))
+    folder = F.concat_ws("/", "dataset", "partition", version)
+    source = F.concat(F.lit(SOURCE_FILE_PREFIX), safe_component("source_filename"))
+    return new.join(counted.select("source_path", "rows"), "source_path", "left").select(
+        "dataset",
+        "partition",
+        "source_url",
+        "source_sha256",
+        "source_media_type",
+        F.concat_ws("/", folder, source).alias("source_file"),
+        F.concat(folder, F.lit("/data.parquet")).alias("data_file"),
+        F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
+        "fetched_at",
+        "license_name",
+        "license_url",
+        F.lit(None).cast("boolean").alias("source_pruned"),
+        F.lit(None).cast("string").alias("source_remote_key"),
+    )
+
+
 def write_provenance(records: DataFrame, root: str) -> None:
     """Append artifact records; they are never changed in place."""
     records.write.mode("append").parquet(f"{root.rstrip('/')}/{ARTIFACTS_TABLE}")
@@ -161,9 +168,9 @@ def write_bulk_manifest(spark: SparkSession, root: str, dataset: str, now: Colum
         iso_text(now).alias("updated_at"),
         F.struct(*ARTIFACT.fieldNames()).alias("artifact"),
     )
-    data = spark.read.option("mergeSchema", True).parquet(archive_path(root, dataset))
+    columns = {n: t for n, t in _schema_map(read_bulk(spark, root, dataset)).items() if not is_layout(n)}
     lines = manifest_lines(
-        entries, _schema_map(data), dataset, "source_fetched_at", BULK_KEY, now, F.col("artifact")
+        entries, columns, dataset, "source_fetched_at", BULK_KEY, now, F.col("artifact")
     )
     _write_lines(lines, root, dataset)
 

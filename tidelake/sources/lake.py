@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidelake.operators.merge import add_partition_columns
 from tidelake.schemas import (
@@ -19,6 +24,7 @@ from tidelake.schemas import (
     SOURCE_FILE_PREFIX,
     STAGING_DIR,
 )
+from tidelake.sources.paths import open_in_task
 
 
 def archive_path(root: str, dataset: str) -> str:
@@ -45,14 +51,44 @@ def read_plain_archive(spark: SparkSession, root: str, dataset: str) -> DataFram
 
     Those names shadow the data columns with their directory spelling, so the
     directories are not read as columns; they are derived again from the data.
+    A column that is null throughout such a file may be stored without a type,
+    which Spark's reader refuses, so tasks read the files with Arrow in batches.
     """
-    rows = (
-        spark.read.schema(_shape(dataset))
+    shape = _shape(dataset)
+    target = to_arrow_schema(shape)
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name in batch.column("path").to_pylist():
+                with open_in_task(name) as handle:
+                    for part in pq.ParquetFile(handle).iter_batches():
+                        rows = pa.Table.from_batches([part]).select(target.names).cast(target)
+                        yield from rows.to_batches()
+
+    files = (
+        spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
-        .parquet(archive_path(root, dataset))
+        .load(archive_path(root, dataset))
     )
-    return add_partition_columns(rows)
+    return add_partition_columns(files.select("path").mapInArrow(read, shape))
+
+
+def is_layout(column: str) -> bool:
+    """Whether a column of an imported dataset only names its folders."""
+    return column == "version" or column.startswith("part_")
+
+
+def read_bulk(spark: SparkSession, root: str, dataset: str) -> DataFrame:
+    """An imported dataset, all versions; columns added over the years are merged.
+
+    Folder names stay text: left to be guessed, a season 0405 or a version of
+    digits only would turn into numbers.
+    """
+    path = archive_path(root, dataset)
+    found = spark.read.option("mergeSchema", True).parquet(path).schema
+    fields = [T.StructField(f.name, T.StringType() if is_layout(f.name) else f.dataType) for f in found]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
 
 
 def relative_key(path: Column, root: str) -> Column:

@@ -86,8 +86,9 @@ def write_event_archive_counts(spark, sf):
 @query(
     "write_odds_archive",
     with_views(
-        """SELECT source, external_id, quote_id AS payload_hash, min(observed_at) AS observed_at, any_value(price) AS price
-           FROM quotes GROUP BY source, external_id, quote_id""",
+        """SELECT source, external_id, quote_id AS payload_hash, min(observed_at) AS observed_at,
+                  arg_min(price, observed_at) AS price
+           FROM quotes GROUP BY source, external_id, quote_id, date_trunc('year', observed_at)""",
         "quotes",
     ),
 )

@@ -84,12 +84,15 @@ def envelope_items(landed: DataFrame, provider: str) -> DataFrame:
         if field is None
         else F.from_json("body", f"{field} array<string>")[field]
     )
-    _, members, kind = _list_kind(provider)
-    listed = landed.where(F.startswith(kind, F.lit("ARRAY")))
-    kinds = F.transform(members, F.schema_of_variant)
+    _, members, _ = _list_kind(provider)
     passed = [c for c in landed.columns if c != "body"]
+    # A one-element explode keeps the parse a step of its own, done once per response.
+    listed = landed.select(*passed, "body", F.explode(F.array(members)).alias("_members"))
+    kinds = F.transform("_members", F.schema_of_variant)
+    zipped = F.arrays_zip(texts.alias("text"), kinds.alias("kind"))
     return (
-        listed.select(*passed, F.posexplode(F.arrays_zip(texts.alias("text"), kinds.alias("kind"))))
+        listed.where(F.col("_members").isNotNull())
+        .select(*passed, F.posexplode(zipped))
         .where(F.startswith("col.kind", F.lit("OBJECT")))
         .select(*passed, F.col("pos").alias("position"), F.col("col.text").alias("payload"))
     )

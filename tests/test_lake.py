@@ -302,3 +302,14 @@ def test_provenance_records_are_found_below_the_root(spark, tmp_path):
     assert [(r.record_key, r.dataset, r.rows, r.source_pruned) for r in rows] == [("d/season=1/version=a/provenance.json", "d", 3, True)]
     names = c.bulk_datasets(lake.scan_files(spark, str(tmp_path)).where("key like '%/provenance.json'")).collect()
     assert [r.dataset for r in names] == ["d", "e"]
+
+
+def test_landed_responses_are_read_with_their_mark_and_time(spark, tmp_path):
+    from tidelake.sources.envelopes import envelope_items, read_landed
+
+    body = json.dumps({"events": [event(), event(number=2)]}, indent=1)
+    (tmp_path / "a.json").write_bytes(("\ufeff" + body).encode())
+    items = envelope_items(read_landed(spark, str(tmp_path)), "thesportsdb")
+    rows = n.accepted(n.normalize_thesportsdb(items)).orderBy("external_id").collect()
+    assert [(r.external_id, r.position) for r in rows] == [("1", 0), ("2", 1)]
+    assert rows[0].observed_at.year >= 2024 and rows[0].path.endswith("a.json")

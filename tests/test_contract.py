@@ -5,8 +5,9 @@ import pytest
 
 import __spark_entry__ as contract
 from check import TABLES, digest
+from tidelake.contract import load_queries
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = load_queries()
 # Queries that write files or run streams while they are built.
 WRITERS = {n for n in QUERIES if n.startswith(("write_", "stream_", "read_archive", "read_csv", "read_zip", "read_prov"))}
 

@@ -7,12 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelake.llm.ann import nearest
 from tidelake.llm.decontaminate import contaminated_words
 from tidelake.llm.line_dedup import dedup_lines
 from tidelake.llm.packing import pack_best_fit
 from tidelake.llm.pii import KINDS, kind_counts, personal_data, span_text
 from tidelake.llm.rows import crc_fold, table
 from tidelake.llm.simhash import hex_fingerprint, near_duplicates
+from tidelake.llm.suffix_dedup import dedup_substrings
 from tidelake.llm.toxicity import fit_toxicity, score_toxicity
 from tidelake.llm.url_filter import url_verdicts
 from tidelake.session import pin_utc
@@ -46,6 +48,20 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_best_fit(docs, word_count(F.col("text"))).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of each document that 50-byte strings of earlier documents cover, and a digest of the rest."""
+    done = dedup_substrings(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["begin"])
+    return done.select(
+        F.col("id").alias("doc_id"),
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document lie in windows of benchmark items, and of which items."""
@@ -110,6 +126,13 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every twentieth id."""
+    found = nearest(table(spark, sf_dir, "embeddings"))
+    return found.withColumnRenamed("id", "vec_id")
+
+
 @query
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A verdict on the URL of every page."""

@@ -11,9 +11,10 @@ from tidelake.llm.rows import ascii_lower, texts
 BLANKS = " \t\n\x0b\x0c\r"
 
 
-def line_key(line: Column) -> Column:
-    """The line without blanks at its ends, A-Z in lower case."""
-    return ascii_lower(F.btrim(line, F.lit(BLANKS)))
+def line_key(stripped: Column) -> Column:
+    """Two 64-bit hashes of a line without blanks at its ends, A-Z in lower case."""
+    key = ascii_lower(stripped)
+    return F.struct(F.xxhash64(key).alias("a"), F.xxhash64(F.lit("line"), key).alias("b"))
 
 
 def without_lines(lines: Column, dropped: Column) -> Column:
@@ -30,19 +31,21 @@ def without_lines(lines: Column, dropped: Column) -> Column:
 def dropped_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataFrame:
     """(id, sig, dropped): the sorted zero-based numbers of the lines that each row loses; rows that lose none are missing.
 
-    Keys travel as 16 bytes of their SHA-256.  The smallest id of a key is folded before the
+    Keys travel as two 64-bit hashes under different seeds.  The smallest id of a key is folded before the
     shuffle; the join back is one row per key on one side, which adaptive execution splits where
     one line fills a partition.
     """
     split = texts(docs, id_col, text_col).select("id", "sig", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     keyed = (
-        split.withColumn("key", line_key(F.col("line")))
-        .where((F.char_length("key") >= min_chars) & F.col("id").isNotNull())
-        .select("id", "sig", "pos", F.substring(F.unhex(F.sha2("key", 256)), 1, 16).alias("key"))
+        # Lower case changes no length, so short lines go before the costly part.
+        split.withColumn("line", F.btrim("line", F.lit(BLANKS)))
+        .where((F.char_length("line") >= min_chars) & F.col("id").isNotNull())
+        .select("id", "sig", "pos", line_key(F.col("line")).alias("key"))
+        .select("id", "sig", "pos", "key.a", "key.b")
     )
-    spread = keyed.groupBy("key").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    shared = spread.where(F.col("first") < F.col("last")).select("key", "first")
-    late = keyed.join(shared, "key").where(F.col("id") > F.col("first"))
+    spread = keyed.groupBy("a", "b").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    shared = spread.where(F.col("first") < F.col("last")).select("a", "b", "first")
+    late = keyed.join(shared, ["a", "b"]).where(F.col("id") > F.col("first"))
     return late.groupBy("id", "sig").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
 
 

@@ -16,8 +16,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ascii_lower(text: Column) -> Column:
-    """A-Z to a-z; every other character stays."""
-    return F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    """A-Z to a-z; every other character stays.
+
+    Where all characters are ASCII that is what ``lower`` does, at a fraction of the cost.
+    """
+    mapped = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(mapped)
 
 
 def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

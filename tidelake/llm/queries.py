@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidelake.llm.ann import nearest
 from tidelake.llm.decontaminate import contaminated_words
 from tidelake.llm.line_dedup import dedup_lines
+from tidelake.llm.lm import score_texts
 from tidelake.llm.packing import pack_best_fit
 from tidelake.llm.pii import KINDS, kind_counts, personal_data, span_text
 from tidelake.llm.rows import crc_fold, table
@@ -139,6 +140,21 @@ def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_verdicts(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
 
 
+@query
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under the recurrent model and under the base counts."""
+    found = score_texts(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        (crc_fold(F.col("id"), 10) == 0).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 @query
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: counts and places."""

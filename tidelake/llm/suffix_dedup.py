@@ -269,11 +269,11 @@ def _distinct(marks: np.ndarray, bodies: np.ndarray) -> np.ndarray:
     return m[np.r_[True, (m[1:] != m[:-1]) | (b[1:] != b[:-1])]] if len(m) else m
 
 
-def _packed(values: np.ndarray) -> bytes:
+def packed(values: np.ndarray) -> bytes:
     return pa.compress(values.tobytes(), codec="zstd", asbytes=True)
 
 
-def _unpacked(column: pa.ChunkedArray, counts: list[int], kind: type) -> np.ndarray:
+def unpacked(column: pa.ChunkedArray, counts: list[int], kind: type) -> np.ndarray:
     size = np.dtype(kind).itemsize
     parts = [
         np.frombuffer(pa.decompress(v, decompressed_size=n * size, codec="zstd", asbytes=True), kind)
@@ -340,7 +340,7 @@ def removable(docs: DataFrame, id_col: str, text_col: str, span: int = SPAN, mar
         out = {name: [] for name in ("bucket", "g", "n", "marks", "bodies", "ids")}
         for bucket in np.flatnonzero(np.diff(cuts)):
             mine = order[cuts[bucket] : cuts[bucket + 1]]
-            values = (bucket, g, len(mine), _packed(group.class_mark[mine]), _packed(group.class_body[mine]), _packed(group.class_id[mine]))
+            values = (bucket, g, len(mine), packed(group.class_mark[mine]), packed(group.class_body[mine]), packed(group.class_id[mine]))
             for name, value in zip(out, values, strict=True):
                 out[name].append(value)
         return pa.table(out, schema=entry_schema)
@@ -352,12 +352,12 @@ def removable(docs: DataFrame, id_col: str, text_col: str, span: int = SPAN, mar
     def judged(bucket: pa.Table) -> pa.Table:
         counts = bucket["n"].to_pylist()
         flags = verdicts(
-            _unpacked(bucket["marks"], counts, np.uint64),
-            _unpacked(bucket["bodies"], counts, np.uint64),
-            _unpacked(bucket["ids"], counts, np.int64),
+            unpacked(bucket["marks"], counts, np.uint64),
+            unpacked(bucket["bodies"], counts, np.uint64),
+            unpacked(bucket["ids"], counts, np.int64),
         )
         cuts = np.cumsum([0, *counts])
-        packed = [_packed(flags[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        packed = [packed(flags[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         return pa.table({"g": bucket["g"], "bucket": bucket["bucket"], "flags": pa.array(packed, pa.binary())})
 
     def hot_windows(docs: pa.Table) -> pa.Table:

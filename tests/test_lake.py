@@ -203,8 +203,42 @@ def test_zip_holds_exactly_one_csv(spark, tmp_path):
     archive_of(tmp_path / "ok.zip", shots__csv="﻿shotID,xGoal\n1,0.5\n\n2,NA\n", notes__txt="x")
     assert numbered(du.read_zip_csv_source(spark, str(tmp_path)), "shotID", "xGoal") == [("1", "0.5", 0), ("2", None, 1)]
     archive_of(tmp_path / "two.zip", a__csv="x\n1\n", b__csv="x\n1\n")
-    with pytest.raises(Exception, match="expected one CSV in ZIP, found 2"):
-        du.read_zip_csv_source(spark, str(tmp_path)).collect()
+    (tmp_path / "broken.zip").write_bytes(b"PK")
+    # A refused archive costs its own rows only, and is named with the reason.
+    assert numbered(du.read_zip_csv_source(spark, str(tmp_path)), "shotID") == [("1", 0), ("2", 1)]
+    refused = {r.path.rsplit("/", 1)[-1]: r.reason for r in du.zip_headers(spark, str(tmp_path)).where("reason IS NOT NULL").collect()}
+    assert refused["two.zip"] == "holds 2 CSV tables instead of one" and "broken.zip" in refused
+    small = {r.reason for r in du.zip_headers(spark, str(tmp_path / "ok.zip"), max_bytes=5).collect()}
+    assert small == {"unpacks to 28 bytes, more than 5"}
+
+
+def test_archives_of_three_headers_are_each_unpacked_once(spark, tmp_path):
+    for k, text in enumerate(("a,b\n1,2\n", "b,c,a\n3,4,5\n", "d\n6\n")):
+        archive_of(tmp_path / f"{k}.zip", t__csv=text)
+    rows = du.read_zip_csv_source(spark, str(tmp_path))
+    assert numbered(rows, "a", "b", "c", "d") == [("1", "2", None, None, 0), ("5", "3", "4", None, 0), (None, None, None, "6", 0)]
+    assert rows._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+
+
+def test_splits_share_no_row_and_lose_none(spark, tmp_path):
+    text = "k,v\r\n" + "".join(f"{i},{'x' * (i % 37)}\r\n" for i in range(3_000)) + "last,line"
+    (tmp_path / "s.csv").write_text(text, newline="")
+    for size in (1_000, 4_097, 1 << 20):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+        try:
+            rows = du.read_csv_source(spark, str(tmp_path)).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert sorted((r.source_row_number, r.k) for r in rows) == [(i, str(i)) for i in range(3_000)] + [(3_000, "last")]
+
+
+def test_parquet_seasons_of_three_generations(spark, tmp_path):
+    pq.write_table(pa.table({"season": [2001], "yards": pa.array([3], pa.int32())}), tmp_path / "1.parquet")
+    pq.write_table(pa.table({"season": [2002], "yards": [3.5], "extra": ["x"]}), tmp_path / "2.parquet")
+    pq.write_table(pa.table({"season": [2003]}), tmp_path / "3.parquet")
+    rows = du.read_parquet_source(spark, str(tmp_path))
+    assert numbered(rows, "season", "yards", "extra") == [(2001, 3.0, None, 0), (2002, 3.5, "x", 0), (2003, None, None, 0)]
+    assert du.common_types([spark.sql("SELECT 1L AS a").schema, spark.sql("SELECT 1D AS a").schema]) == {"a": "string"}
 
 
 def test_json_lists(spark, tmp_path):
@@ -238,10 +272,10 @@ def import_files(spark, root, *files):
     for k, (name, season, content) in enumerate(files):
         sha = hashlib.sha256("\n".join(content).encode()).hexdigest()
         described.append((k, "shots", f"season={season}", sha, "u", "text/csv", name, "2026-07-10T00:00:00+00:00", "l", "u", name))
-        rows += [(name, value, season, sha, i, SEEN) for i, value in enumerate(content)]
+        rows += [(name, value, sha, i, SEEN) for i, value in enumerate(content)]
     shape = "seq int, dataset string, partition string, source_sha256 string, source_url string, source_media_type string, source_filename string, fetched_at string, license_name string, license_url string, source_path string"
-    data = spark.createDataFrame(rows, "source_path string, value string, part_season string, source_sha256 string, source_row_number bigint, source_fetched_at timestamp")
-    return ba.write_bulk_version(spark.createDataFrame(described, shape), data, root, "shots", ["part_season"])
+    data = spark.createDataFrame(rows, "source_path string, value string, source_sha256 string, source_row_number bigint, source_fetched_at timestamp")
+    return ba.write_bulk_version(spark.createDataFrame(described, shape), data, root, "shots")
 
 
 def test_versions_are_immutable_and_counted_once(spark, tmp_path):
@@ -250,9 +284,9 @@ def test_versions_are_immutable_and_counted_once(spark, tmp_path):
     assert (first.attempted, first.added, first.rows) == (3, 2, 4)
     again = import_files(spark, root, ("a b.csv", "2025", ["x", "y"]), ("d.csv", "2025", ["z"]))
     assert (again.attempted, again.added, again.rows) == (2, 1, 1)
-    records = {r.source_file.rsplit("/", 1)[1]: r for r in ba.read_artifacts(spark, root).collect()}
-    assert {k: r.rows for k, r in records.items()} == {"source-a-b.csv": 2, "source-c.csv": 2, "source-d.csv": 1}
-    assert spark.read.parquet(f"{root}/shots").count() == 5
+    records = {r.source_file: r for r in ba.read_artifacts(spark, root).collect()}
+    assert {k: r.rows for k, r in records.items()} == {"a b.csv": 2, "c.csv": 2, "d.csv": 1}
+    assert sorted(r.part_season for r in lake.read_bulk(spark, root, "shots").collect()) == ["2025"] * 3 + ["2026"] * 2
     assert ba.rebuild_catalogs(spark, root, now()) == ["shots"]
     bodies = lake.read_manifest(spark, root, "shots")
     assert c.validate_manifest(bodies).count() == 0
@@ -267,7 +301,7 @@ def test_an_import_that_died_before_its_record_is_repeated_without_copies(spark,
         with pytest.raises(RuntimeError, match="lost"):
             import_files(spark, root, ("a.csv", "2025", ["x", "y"]))
     assert import_files(spark, root, ("a.csv", "2025", ["x", "y"])).added == 1
-    assert spark.read.parquet(f"{root}/shots").count() == 2
+    assert lake.read_bulk(spark, root, "shots").count() == 2
 
 
 def test_stored_artifacts_need_their_data_file(spark):
@@ -313,3 +347,49 @@ def test_landed_responses_are_read_with_their_mark_and_time(spark, tmp_path):
     rows = n.accepted(n.normalize_thesportsdb(items)).orderBy("external_id").collect()
     assert [(r.external_id, r.position) for r in rows] == [("1", 0), ("2", 1)]
     assert rows[0].observed_at.year >= 2024 and rows[0].path.endswith("a.json")
+
+
+def test_an_engine_written_lake_passes_its_own_audits(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    assert import_files(spark, root, ("a.csv", "2025", ["x", "y"]), ("b.csv", "2026", ["z"])).added == 2
+    records = ba.current_artifacts(ba.read_artifacts(spark, root))
+    folders = {r.data_file for r in ba.stored_folders(spark, root, "shots").collect()}
+    assert {r.data_file for r in records.collect()} == folders and len(folders) == 2
+    beside = lake.read_provenance(spark, root)
+    assert {(r.partition, r.rows) for r in beside.collect()} == {("season=2025", 2), ("season=2026", 1)}
+    assert {r.record_key.rsplit("/", 1)[0] for r in beside.collect()} == folders
+    # A record whose folder never landed, or was lost, does not keep its content from being imported.
+    lost = records.where("partition = 'season=2025'").withColumn("partition", F.lit("season=2027")).withColumn(
+        "data_file", F.lit("shots/part_season=2027/version=0")
+    )
+    lost.drop("generation").write.mode("append").parquet(f"{root}/{ba.ARTIFACTS_TABLE}")
+    assert import_files(spark, root, ("a.csv", "2027", ["x", "y"])).added == 1
+    assert import_files(spark, root, ("a.csv", "2027", ["x", "y"])).added == 0
+
+
+def test_contents_that_share_a_version_folder_are_refused(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(ba, "version_of", lambda sha: F.lit("same"))
+    with pytest.raises(ba.VerificationError, match="share a version folder"):
+        import_files(spark, str(tmp_path), ("a.csv", "2025", ["x"]), ("b.csv", "2025", ["y"]))
+
+
+def test_flags_are_stored_as_a_new_generation(spark, tmp_path):
+    root = str(tmp_path)
+    import_files(spark, root, ("a.csv", "2025", ["x"]), ("b.csv", "2026", ["y"]))
+    known = ba.current_artifacts(ba.read_artifacts(spark, root))
+    pruned = known.withColumn("source_pruned", F.when(F.col("partition") == "season=2025", True)).withColumn("source_remote_key", F.lit(None).cast("string"))
+    assert ba.write_flags(pruned, root) == 1 and ba.write_flags(pruned, root) == 0
+    now = ba.current_artifacts(ba.read_artifacts(spark, root))
+    assert {r.partition: r.source_pruned for r in now.collect()} == {"season=2025": True, "season=2026": None}
+
+
+def test_manifests_of_drifting_versions(spark, tmp_path):
+    shape = "seq string, dataset string, partition string, source_sha256 string, source_url string, source_media_type string, source_filename string, fetched_at string, license_name string, license_url string, source_path string"
+    for k, value in enumerate((F.lit(1), F.lit(1.5), F.lit(2))):
+        row = (f"{k}", "d", "scope=all", f"{k}" * 64, "", "", "f", "2026-01-01T00:00:00+00:00", "", "", f"p{k}")
+        rows = spark.range(1).select(value.alias("v"), F.lit(f"p{k}").alias("source_path"), F.lit(f"{k}" * 64).alias("source_sha256"), F.lit(0).cast("bigint").alias("source_row_number"), now().alias("source_fetched_at"))
+        ba.write_bulk_version(spark.createDataFrame([row], shape), rows, str(tmp_path), "d")
+    assert ba.rebuild_catalogs(spark, str(tmp_path), now()) == ["d"]
+    schema = json.loads(lake.read_manifest(spark, str(tmp_path), "d").first().body)["schema"]
+    assert schema["v"] in ("int32", "double") and schema["source_row_number"] == "int64" and "version" not in schema
+    assert sorted(r.v for r in lake.read_bulk(spark, str(tmp_path), "d").collect()) == [1.0, 1.5, 2.0]

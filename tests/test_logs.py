@@ -167,11 +167,21 @@ def test_a_scheduled_job_without_runs_is_listed_last_but_one(spark):
 def test_outcome_of_a_run(spark):
     rows = [
         ("j", "all", 1, "nba", 3, 1, None), ("j", "all", 2, "nfl", 0, 0, None), ("j", "some", 3, "nba", 3, 1, None), ("j", "some", 9, "mlb", 0, 0, "mlb: down"),
-        ("j", "some", 5, "nfl", 0, 0, "nfl: late"), ("j", "none", 6, "nba", 0, 0, "nba: down"),
+        ("j", "some", 5, "nfl", 0, 0, "nfl: late"), ("j", "some", 11, "nfl", 0, 0, "nfl: gone"), ("j", "none", 6, "nba", 0, 0, "nba: down"),
     ]
     df = spark.createDataFrame(rows, "job string, run string, seq bigint, unit string, fetched bigint, added bigint, failure string")
     found = {r.run: (r.status, r.fetched, r.added, r.detail) for r in h.run_outcome(df).collect()}
-    assert found == {"all": ("ok", 3, 1, ""), "some": ("partial", 3, 1, "nfl: late; mlb: down"), "none": ("error", 0, 0, "nba: down")}
+    assert found == {"all": ("ok", 3, 1, ""), "some": ("partial", 3, 1, "nfl: late; mlb: down; nfl: gone"), "none": ("error", 0, 0, "nba: down")}
+
+
+def test_runs_without_a_job_are_kept(spark, monkeypatch):
+    rows = [(None, 1, START, "error", 0, 0, "x"), ("a", 2, START, "ok", 1, 1, ""), (None, 3, START, "ok", 2, 2, "")]
+    df = spark.createDataFrame(rows, RUN)
+    for share in (1, 10_000):
+        monkeypatch.setattr(skew, "HEAVY_SHARE", share)
+        assert {r.job: (r.runs, r.failures) for r in h.health_fold(df).collect()} == {None: (2, 1), "a": (1, 0)}
+        streaks = {r.seq: r.failure_streak for r in h.run_streaks(df, rows=1).collect()}
+        assert streaks == {1: 1, 2: 0, 3: 0}
 
 
 def test_ages(spark):

@@ -57,8 +57,8 @@ def test_a_damaged_copy_is_never_pruned_even_if_it_was_there_before(spark):
 
 def test_parquet_must_match_in_rows_and_missing_copies_fail(spark):
     _, found = decide(spark, [], [EQUAL[0], ("d/v/data.parquet", "bbbb", 4)])
-    assert found["d/v/data.parquet"][:2] == ("failed", "mirror holds 4 rows, local file has 5")
-    assert found["statsbomb_matches/v/source-m.json"][:2] == ("failed", "object is not in the mirror")
+    assert found["d/v/data.parquet"][:2] == ("failed", "row counts differ: local 5, mirror 4")
+    assert found["statsbomb_matches/v/source-m.json"][:2] == ("failed", "no copy in the mirror")
 
 
 def test_dry_run_plans_without_verifying(spark):
@@ -116,11 +116,21 @@ def test_season_league_worklist(spark):
     rows = w.season_league_worklist(df).orderBy("start_year", "position").collect()
     assert [r.partition for r in rows] == [f"league={code}/season={s}" for s in ("2425", "2526") for code in ("E0", "D1")]
     assert rows[0].url == "https://www.football-data.co.uk/mmz4281/2425/E0.csv"
-    for bad in ((2025, 2024, "E0"), (2024, 2024, ","), (1989, 1990, "E0")):
+    early = w.season_league_worklist(spark.createDataFrame([(1989, 1990, "E0")], df.schema)).orderBy("start_year").collect()
+    assert [(r.reject_reason, r.partition) for r in early] == [("no two-digit season starts in 1989", None), (None, "league=E0/season=9091")]
+    for bad in ((2025, 2024, "E0"), (2024, 2024, ",")):
         with pytest.raises(Exception, match="range|league"):
             w.season_league_worklist(spark.createDataFrame([bad], df.schema)).collect()
 
 
+def test_only_the_request_that_is_too_long_is_refused(spark):
+    rows = spark.sql("SELECT * FROM VALUES (1, DATE'2026-07-01', DATE'2026-07-03'), (2, DATE'2026-01-01', DATE'2026-12-31') AS t(id, from_day, to_day)")
+    refused = w.day_worklist(rows, max_days=31)
+    assert [(r.id, r.reject_reason) for r in refused.where("day IS NULL").collect()] == [(2, "more days than 31")]
+    assert refused.where("id = 1 AND reject_reason IS NULL").count() == 3
+    assert w.day_worklist(rows).count() == 368
+
+
 def test_first_matches_in_list_order(spark):
     df = spark.createDataFrame([("1", "2", p, str(100 - p)) for p in range(5)], "competition_id string, season_id string, position int, match_id string")
     rows = w.match_event_worklist(df, 2).orderBy("position").collect()

@@ -103,7 +103,7 @@ def _age(column: str) -> str:
         f"""SELECT CASE status WHEN 'failing' THEN 0 WHEN 'stale' THEN 1 WHEN 'degraded' THEN 2 WHEN 'idle' THEN 3
                   WHEN 'never-run' THEN 4 WHEN 'skipped' THEN 5 ELSE 9 END AS rank, job, status,
             {_age('last_success')} AS last_ok, {_age('last_wrote')} AS wrote, runs, failures,
-            CASE WHEN status <> 'ok' THEN left(coalesce(last_error, skip_reason), 160) END AS reason
+            CASE WHEN status <> 'ok' THEN coalesce(last_error, skip_reason) END AS reason
             FROM judged WHERE status <> 'ok'"""
     ),
 )
@@ -132,13 +132,10 @@ def run_streaks(spark, sf):
 @query(
     "run_outcome",
     with_views(
-        """, per_unit AS (SELECT job, run, unit, sum(fetched) AS fetched, sum(added) AS added,
-                  min(seq) FILTER (failure IS NOT NULL) AS failed_at, arg_min(failure, seq) FILTER (failure IS NOT NULL) AS failure
-                  FROM units GROUP BY job, run, unit)
-           SELECT job, run, CASE WHEN count(failure) = 0 THEN 'ok' WHEN sum(fetched) = 0 AND sum(added) = 0 THEN 'error' ELSE 'partial' END AS status,
+        """SELECT job, run, CASE WHEN count(failure) = 0 THEN 'ok' WHEN sum(fetched) = 0 AND sum(added) = 0 THEN 'error' ELSE 'partial' END AS status,
                   CAST(sum(fetched) AS BIGINT) AS fetched, CAST(sum(added) AS BIGINT) AS added,
-                  coalesce(string_agg(failure, '; ' ORDER BY failed_at), '') AS detail
-           FROM per_unit GROUP BY job, run""",
+                  coalesce(string_agg(failure, '; ' ORDER BY seq), '') AS detail
+           FROM units GROUP BY job, run""",
         "units",
     ),
 )
@@ -146,6 +143,11 @@ def run_outcome(spark, sf):
     return h.run_outcome(v.units(spark, sf))
 
 
+@query("run_failures", with_views("SELECT job, run, seq, unit, failure FROM units WHERE failure IS NOT NULL", "units"))
+def run_failures(spark, sf):
+    return h.run_failures(v.units(spark, sf))
+
+
 @query("health_seed", _health_sql("SELECT * REPLACE (0 AS failures) FROM entries"))
 def health_seed(spark, sf):
     """Entries written as a state document and read back; unknown fields go, missing ones default."""
@@ -258,7 +260,7 @@ def _outcomes_sql(prune: bool, dry_run: bool) -> str:
     return f""", considered AS (SELECT *, {wanted} AS wanted, key IN (SELECT key FROM mirror_before) AS present FROM verified),
         outcomes AS (SELECT key, dataset,
             CASE WHEN size > {_LIMIT} THEN 'oversize' WHEN present AND NOT wanted THEN 'present' ELSE {status} END AS status,
-            CASE WHEN size > {_LIMIT} THEN size || ' bytes exceeds the {_LIMIT}-byte whole-object ceiling'
+            CASE WHEN size > {_LIMIT} THEN size || ' bytes, over the limit of {_LIMIT}'
                  WHEN present AND NOT wanted THEN '' ELSE {detail} END AS detail,
             CAST(CASE WHEN size > {_LIMIT} OR (present AND NOT wanted) THEN 0 ELSE {freed} END AS BIGINT) AS freed_bytes
             FROM considered)"""
@@ -305,7 +307,7 @@ _register_sync("dry_run", True, True)
 @query(
     "top_failures",
     _sync_sql(
-        """SELECT key, status, left(detail, 120) AS detail,
+        """SELECT key, status, detail,
            greatest((SELECT count(*) FROM outcomes WHERE status IN ('failed', 'oversize')) - 10, 0) AS more
            FROM outcomes WHERE status IN ('failed', 'oversize') ORDER BY key LIMIT 10""",
         True,
@@ -377,8 +379,8 @@ def _restore_plan(spark, sf):
     with_views(
         _RESTORE
         + """ SELECT key, dataset, partition, source_file, CASE WHEN d = source_sha256 THEN 'restored' ELSE 'failed' END AS status,
-              CASE WHEN d IS NULL THEN 'object is not in the mirror' WHEN d <> source_sha256 THEN 'restored object sha256 '
-                   || substr(d, 1, 16) || ' does not match the recorded source hash ' || substr(source_sha256, 1, 16) ELSE '' END AS detail
+              CASE WHEN d IS NULL THEN 'no copy in the mirror' WHEN d <> source_sha256 THEN 'the copy''s digest '
+                   || d || ' is not the recorded ' || source_sha256 ELSE '' END AS detail
               FROM plan""",
         "artifacts",
     ),

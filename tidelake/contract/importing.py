@@ -106,7 +106,7 @@ def verify_row_count(spark, sf):
 
 @query(
     "season_league_worklist",
-    f"""SELECT c_custkey, y AS start_year, s AS season, p AS position, l AS league, 'football_data_uk_matches' AS dataset,
+    f"""SELECT c_custkey, y AS start_year, s AS season, p AS position, l AS league, 'football_data_uk_matches' AS dataset, CAST(NULL AS VARCHAR) AS reject_reason,
           'league=' || l || '/season=' || s AS partition,
           replace(replace('{FOOTBALL_SEASON_URL}', '{{season}}', s), '{{league}}', l) AS url
         FROM (SELECT c_custkey, y, lpad(CAST(y % 100 AS VARCHAR), 2, '0') || lpad(CAST((y + 1) % 100 AS VARCHAR), 2, '0') AS s, p,
@@ -190,7 +190,7 @@ def match_event_worklist(spark, sf):
 
 @query(
     "day_worklist",
-    """SELECT o_orderkey, CAST(unnest(range(CAST(o_orderdate AS DATE), CAST(o_orderdate AS DATE) + CAST(o_orderkey % 4 + 1 AS INTEGER), INTERVAL 1 DAY)) AS DATE) AS day FROM orders""",
+    """SELECT o_orderkey, CAST(unnest(range(CAST(o_orderdate AS DATE), CAST(o_orderdate AS DATE) + CAST(o_orderkey % 4 + 1 AS INTEGER), INTERVAL 1 DAY)) AS DATE) AS day, CAST(NULL AS VARCHAR) AS reject_reason FROM orders""",
 )
 def day_worklist(spark, sf):
     first = F.to_date("o_orderdate")

@@ -293,12 +293,12 @@ def write_bulk_version(spark, sf):
     )
     order = W.partitionBy("lang", "source").orderBy("doc_id")
     rows = b.add_provenance(
-        d.select("doc_id", F.col("lang").alias("part_lang"), path.alias("source_path"),
+        d.select("doc_id", path.alias("source_path"),
                  content.alias("sha"), (F.row_number().over(order) - 1).alias("n")),
         F.col("sha"), F.col("n"), v.now(),
     ).drop("sha", "n")
-    ba.write_bulk_version(files, rows, root, "documents", ["part_lang"])
-    again = ba.write_bulk_version(files, rows, root, "documents", ["part_lang"])
+    ba.write_bulk_version(files, rows, root, "documents")
+    again = ba.write_bulk_version(files, rows, root, "documents")
     stored = lake.read_bulk(spark, root, "documents")
     return stored.select(
         F.concat(F.lit("lang="), "part_lang").alias("partition"), "version", "doc_id", "source_row_number",
@@ -405,7 +405,7 @@ def stream_bulk_import(spark, sf):
     st.stream_bulk_import(
         spark, f"{base}/landing", "id", f"{base}/lake", "customers", "scope=all", f"{base}/checkpoint", files_per_batch=3
     ).awaitTermination()
-    return spark.read.parquet(f"{base}/lake/customers").select("external_id", "payload_json")
+    return lake.read_bulk(spark, f"{base}/lake", "customers").select("external_id", "payload_json")
 
 
 def _write_json_lists(items: DataFrame, folder: str) -> None:

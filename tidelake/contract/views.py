@@ -280,10 +280,9 @@ SQL = {
     "mirror_before": "SELECT * FROM mirror_after WHERE doc_id % 7 <> 0",
     "verified": """
         SELECT f.*, m.digest AS mirror_digest, m.rows AS mirror_rows,
-               CASE WHEN f.digest <> m.digest THEN 'mirror holds sha256 ' || substr(m.digest, 1, 16)
-                         || ', local file is ' || substr(f.digest, 1, 16)
-                    WHEN f.is_parquet AND f.rows <> m.rows THEN 'mirror holds ' || m.rows
-                         || ' rows, local file has ' || f.rows END AS problem
+               CASE WHEN f.digest <> m.digest THEN 'digests differ: local ' || f.digest || ', mirror ' || m.digest
+                    WHEN f.is_parquet AND f.rows <> m.rows THEN 'row counts differ: local ' || f.rows
+                         || ', mirror ' || m.rows END AS problem
         FROM local_files f JOIN mirror_after m USING (key)""",
     "imports": """
         SELECT doc_id AS seq, source, 'documents' AS dataset, 'lang=' || lang AS partition,

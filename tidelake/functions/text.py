@@ -44,7 +44,7 @@ def safe_component(value: Column | str) -> Column:
     text = _col(value)
     cleaned = F.btrim(F.regexp_replace(text, "[^A-Za-z0-9._=-]+", "-"), F.lit("-."))
     return F.when(cleaned != "", cleaned).otherwise(
-        F.raise_error(F.concat(F.lit("unsafe archive component: "), F.coalesce(text, F.lit("null"))))
+        F.raise_error(F.concat(F.lit("unsafe in a path, nothing usable is left of: "), F.coalesce(text, F.lit("null"))))
     )
 
 
@@ -65,12 +65,20 @@ def team_name(full_name: Column, display_name: Column, city: Column, name: Colum
 
 
 def season_code(start_year: Column | str) -> Column:
-    """2026 becomes 2627; years outside the supported range fail the job."""
+    """2026 becomes 2627; null outside the range where two digits name one year.
+
+    ``season_problem`` says why.
+    """
     year = _col(start_year)
     digits = [F.lpad((y % 100).cast("string"), 2, "0") for y in (year, year + 1)]
-    return F.when(year.between(FIRST_SEASON, LAST_SEASON), F.concat(*digits)).otherwise(
-        F.raise_error(F.concat(F.lit("season start year out of range: "), year.cast("string")))
-    )
+    return F.when(year.between(FIRST_SEASON, LAST_SEASON), F.concat(*digits))
+
+
+def season_problem(start_year: Column | str) -> Column:
+    """Why a year has no season code, null where it has one."""
+    year = _col(start_year)
+    said = F.concat(F.lit("no two-digit season starts in "), F.coalesce(year.cast("string"), F.lit("an unknown year")))
+    return F.when(~F.coalesce(year.between(FIRST_SEASON, LAST_SEASON), F.lit(False)), said)
 
 
 def csv_tokens(value: Column | str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidelake.functions.text import not_blank, strip
-from tidelake.schemas import MAX_DAYS_PER_RUN, SEASON_START_MONTH
+from tidelake.schemas import SEASON_START_MONTH
 
 _DATE = r"^(\d{4}-\d{2}-\d{2}|\d{8})$"
 _INSTANT = (
@@ -69,14 +69,9 @@ def inclusive_range(start: Column, end: Column) -> Column:
 
 
 def inclusive_days(start: Column, end: Column) -> Column:
-    """Array of days, both ends included; fails if reversed or longer than one run allows."""
-    return (
-        F.when(start > end, F.raise_error(F.lit("start must be on or before end")))
-        .when(
-            F.datediff(end, start) >= MAX_DAYS_PER_RUN,
-            F.raise_error(F.lit(f"date range is limited to {MAX_DAYS_PER_RUN} days per run")),
-        )
-        .otherwise(F.sequence(start, end, F.expr("interval 1 day")))
+    """Array of days, both ends included; fails if reversed."""
+    return F.when(start > end, F.raise_error(F.lit("range of days: the start is after the end"))).otherwise(
+        F.sequence(start, end, F.expr("interval 1 day"))
     )
 
 

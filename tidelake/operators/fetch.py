@@ -5,17 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.schemas import MAX_DOWNLOAD_BYTES
-
 
 def fetch_audit(
-    fetches: DataFrame, staged: DataFrame, max_bytes: int = MAX_DOWNLOAD_BYTES
+    fetches: DataFrame, staged: DataFrame, max_bytes: int | None = None
 ) -> DataFrame:
     """Classify every landed fetch.
 
     ``fetches``: url, status_code, offset (bytes already staged), content_length,
     received (bytes), content_type.  ``staged``: url, sha256 of files known from
-    earlier runs, one row per url.
+    earlier runs, one row per url.  ``max_bytes`` (off by default) rejects larger files.
     """
     code = F.col("status_code")
     appended = (code == 206) & (F.col("offset") > 0)
@@ -29,7 +27,7 @@ def fetch_audit(
     decision = (
         F.when((code == 304) & known, "reuse")
         .when((code < 200) | (code >= 300), "reject-status")
-        .when((announced > max_bytes) | (total > max_bytes), "reject-size")
+        .when(F.lit(False) if max_bytes is None else F.greatest(announced, total) > max_bytes, "reject-size")
         .when(media_type == "text/html", "reject-html")
         .when(appended, "append")
         .otherwise("accept")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidelake.functions.status import health_status, status_rank
 from tidelake.functions.times import age_text
-from tidelake.operators.skew import SEGMENT_ROWS, join_per_key, segment, segmented, so_far
+from tidelake.operators.skew import SEGMENT_ROWS, join_by_keys, join_per_key, segment, segmented, so_far
 from tidelake.schemas import HEALTH_ENTRY, UNHEALTHY_STATUSES
 
 def _succeeded() -> Column:
@@ -18,21 +18,15 @@ def run_outcome(units: DataFrame) -> DataFrame:
     """Per (job, run): totals and ok / partial / error.
 
     Input: job, run, seq, unit, fetched, added, failure (null when the unit
-    worked).  Units are first folded to one row per unit name, which bounds the
-    failure texts of a run by the number of configured units however often a
-    unit was polled; only then are they joined in order of first failure.
+    worked).  ``detail`` holds every failure text of the run, in order of ``seq``;
+    ``run_failures`` has them as rows.
     """
-    failed = F.col("failure").isNotNull()
-    per_unit = units.groupBy("job", "run", "unit").agg(
+    failed = F.when(F.col("failure").isNotNull(), F.struct("seq", "failure"))
+    totals = units.groupBy("job", "run").agg(
         F.sum("fetched").alias("fetched"),
         F.sum("added").alias("added"),
-        F.min(F.when(failed, F.struct("seq", "failure"))).alias("failed"),
-    )
-    totals = per_unit.groupBy("job", "run").agg(
-        F.sum("fetched").alias("fetched"),
-        F.sum("added").alias("added"),
-        F.count("failed").alias("failures"),
-        F.array_sort(F.collect_list("failed")).alias("failed"),
+        F.count(failed).alias("failures"),
+        F.array_sort(F.collect_list(failed)).alias("failed"),
     )
     nothing = (F.col("fetched") == 0) & (F.col("added") == 0)
     return totals.select(
@@ -45,12 +39,17 @@ def run_outcome(units: DataFrame) -> DataFrame:
     )
 
 
+def run_failures(units: DataFrame) -> DataFrame:
+    """Every failure of every run as a row: job, run, seq, unit, failure."""
+    return units.where(F.col("failure").isNotNull()).select("job", "run", "seq", "unit", "failure")
+
+
 def health_fold(runs: DataFrame, schedule: DataFrame | None = None) -> DataFrame:
     """One health entry per job, equal to folding its runs in ``seq`` order.
 
     Input: job, seq (bigint, arrival order), ts, status, fetched, added, detail.
     ``schedule`` (job, interval_seconds) adds promised cadences; jobs that are
-    only scheduled appear with no runs.
+    only scheduled appear with no runs.  Runs without a job make one entry, of no name.
 
     Two passes, neither ordering a job's history: the first finds counters and
     the last marker of each kind with partially aggregated longs; the second
@@ -96,7 +95,7 @@ def health_fold(runs: DataFrame, schedule: DataFrame | None = None) -> DataFrame
         at("_run", "added").alias("last_added"),
     )
     if schedule is not None:
-        entries = entries.join(schedule.select("job", "interval_seconds"), "job", "full")
+        entries = join_by_keys(entries, schedule.select("job", "interval_seconds"), ["job"], "full")
     else:
         entries = entries.withColumn("interval_seconds", F.lit(None).cast("double"))
     count = lambda name: F.coalesce(F.col(name), F.lit(0)).cast("bigint")
@@ -172,7 +171,7 @@ def resume_health(prior: DataFrame, folded: DataFrame) -> DataFrame:
         "last_traceback": pick("last_traceback", ran),
         "skip_reason": pick("skip_reason", seen),
     }
-    joined = p.join(f, F.col("p.job") == F.col("f.job"), "full")
+    joined = p.join(f, F.col("p.job").eqNullSafe(F.col("f.job")), "full")
     return joined.select(*[c.alias(n) for n, c in built.items()])
 
 
@@ -213,7 +212,7 @@ def health_worst_first(judged: DataFrame, now: Column, quiet: bool = False) -> D
             age_text(F.col("last_wrote"), now).alias("wrote"),
             "runs",
             "failures",
-            F.when(F.col("status") != "ok", F.substring(reason, 1, 160)).alias("reason"),
+            F.when(F.col("status") != "ok", reason).alias("reason"),
         )
     )
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.schemas import MAX_OBJECT_BYTES, READBACK_DATASETS
+from tidelake.schemas import READBACK_DATASETS
 
 
 def prunable(inventory: DataFrame) -> Column:
@@ -22,8 +22,9 @@ def prunable_files(inventory: DataFrame) -> DataFrame:
     return inventory.where(prunable(inventory))
 
 
-def oversize_files(inventory: DataFrame, limit: int = MAX_OBJECT_BYTES) -> DataFrame:
-    return inventory.where(F.col("size") > limit)
+def oversize_files(inventory: DataFrame, limit: int | None = None) -> DataFrame:
+    """Files above a size limit; there is none unless the mirror's store sets one."""
+    return inventory.where(F.lit(False) if limit is None else F.col("size") > limit)
 
 
 def mirror_presence(inventory: DataFrame, mirror: DataFrame) -> DataFrame:
@@ -48,18 +49,18 @@ def verify_mirror(inventory: DataFrame, mirror: DataFrame) -> DataFrame:
         F.when(
             differs,
             F.concat(
-                F.lit("mirror holds sha256 "),
-                F.coalesce(F.substring("mirror_digest", 1, 16), F.lit("none")),
-                F.lit(", local file is "),
-                F.coalesce(F.substring("digest", 1, 16), F.lit("none")),
+                F.lit("digests differ: local "),
+                F.coalesce("digest", F.lit("none")),
+                F.lit(", mirror "),
+                F.coalesce("mirror_digest", F.lit("none")),
             ),
         ).when(
             miscounted,
             F.concat(
-                F.lit("mirror holds "),
-                F.coalesce(F.col("mirror_rows").cast("string"), F.lit("no")),
-                F.lit(" rows, local file has "),
-                F.coalesce(F.col("rows").cast("string"), F.lit("no")),
+                F.lit("row counts differ: local "),
+                F.coalesce(F.col("rows").cast("string"), F.lit("none")),
+                F.lit(", mirror "),
+                F.coalesce(F.col("mirror_rows").cast("string"), F.lit("none")),
             ),
         ),
     )
@@ -71,24 +72,24 @@ def sync_outcomes(
     held_after: DataFrame,
     prune: bool = False,
     dry_run: bool = False,
-    limit: int = MAX_OBJECT_BYTES,
+    limit: int | None = None,
 ) -> DataFrame:
     """One decision per local file.
 
     ``held_before`` is the mirror before the run, ``held_after`` its read-back
     once missing files were copied.  An object held before is trusted unless it
     is to be pruned: a local file is only given up against a copy that was read
-    back equal.
+    back equal.  ``limit`` (off by default) refuses larger files, for stores that
+    take objects up to some size only.
     """
     checked = verify_mirror(inventory, held_after).select("key", "problem", F.lit(True).alias("read"))
     files = mirror_presence(inventory, held_before).join(checked, "key", "left")
     size, present = F.col("size"), F.col("present")
     wanted = prunable(inventory) if prune else F.lit(False)
     trusted = present & ~wanted
-    problem = F.coalesce(F.col("problem"), F.when(F.col("read").isNull(), "object is not in the mirror"))
-    oversize = F.concat(
-        size.cast("string"), F.lit(f" bytes exceeds the {limit}-byte whole-object ceiling")
-    )
+    problem = F.coalesce(F.col("problem"), F.when(F.col("read").isNull(), "no copy in the mirror"))
+    too_large = F.lit(False) if limit is None else size > limit
+    oversize = F.concat(size.cast("string"), F.lit(f" bytes, over the limit of {limit}"))
     if dry_run:
         action = F.when(wanted, "would-prune").otherwise("would-upload")
         note = F.when(present, "present").otherwise("absent")
@@ -105,9 +106,9 @@ def sync_outcomes(
     return files.select(
         "key",
         "dataset",
-        F.when(size > limit, "oversize").when(trusted, "present").otherwise(action).alias("status"),
-        F.when(size > limit, oversize).when(trusted, "").otherwise(note).alias("detail"),
-        F.when((size > limit) | trusted, 0).otherwise(freed).cast("bigint").alias("freed_bytes"),
+        F.when(too_large, "oversize").when(trusted, "present").otherwise(action).alias("status"),
+        F.when(too_large, oversize).when(trusted, "").otherwise(note).alias("detail"),
+        F.when(too_large | trusted, 0).otherwise(freed).cast("bigint").alias("freed_bytes"),
     )
 
 
@@ -130,14 +131,18 @@ def sync_summary(outcomes: DataFrame) -> DataFrame:
 
 
 def top_failures(outcomes: DataFrame, shown: int = 10) -> DataFrame:
-    """The first failures by key for a status report, each with how many are left out."""
+    """The first failures by key for a status report, each with how many are left out.
+
+    The number shown is the report's feature; all failures are the ``failed`` and ``oversize``
+    rows of the outcomes.
+    """
     failed = outcomes.where(F.col("status").isin("failed", "oversize"))
     count = failed.agg(F.count("*").alias("n")).scalar()
     more = F.greatest(count - F.lit(shown), F.lit(0)).cast("bigint")
     return (
         failed.orderBy("key")
         .limit(shown)
-        .select("key", "status", F.substring("detail", 1, 120).alias("detail"), more.alias("more"))
+        .select("key", "status", "detail", more.alias("more"))
     )
 
 
@@ -185,13 +190,13 @@ def restore_plan(artifacts: DataFrame, mirror: DataFrame) -> DataFrame:
     )
     plan = wanted.join(mirror.select("key", F.col("digest").alias("mirror_digest")), "key", "left")
     expected = F.coalesce("source_sha256", F.lit(""))
-    detail = F.when(F.col("mirror_digest").isNull(), "object is not in the mirror").when(
+    detail = F.when(F.col("mirror_digest").isNull(), "no copy in the mirror").when(
         (expected != "") & (F.col("mirror_digest") != expected),
         F.concat(
-            F.lit("restored object sha256 "),
-            F.substring("mirror_digest", 1, 16),
-            F.lit(" does not match the recorded source hash "),
-            F.substring(expected, 1, 16),
+            F.lit("the copy's digest "),
+            F.col("mirror_digest"),
+            F.lit(" is not the recorded "),
+            expected,
         ),
     )
     return plan.select(

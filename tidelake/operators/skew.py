@@ -55,15 +55,26 @@ def first_k_per_key(
 def heavy_keys(df: DataFrame, keys: Sequence[str], heavy: str) -> DataFrame:
     """Broadcast list of the keys above the share, each with a true column ``heavy``.
 
-    Reads the key columns only, with partial counts.
+    Reads the key columns only, with partial counts.  Null is a key like any other.
     """
-    named = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-    sizes = df.where(named).groupBy(*keys).agg(F.count("*").alias("_size"))
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_size"))
     total = sizes.agg(F.sum("_size").alias("n")).scalar()
     above = sizes.where(F.col("_size") * HEAVY_SHARE > total)
     return F.broadcast(above.select(*keys, F.lit(True).alias(heavy)))
 
 
+def join_by_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on the keys, null equal to null, with each key once in the result."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys])
+    joined = left.join(renamed, same, how)
+    if how in ("left_semi", "left_anti"):
+        return joined
+    if how == "full":
+        joined = joined.withColumns({k: F.coalesce(k, f"_right_{k}") for k in keys})
+    return joined.drop(*[f"_right_{k}" for k in keys])
+
+
 def join_per_key(
     facts: DataFrame, per_key: DataFrame, keys: Sequence[str], spread: Column
 ) -> DataFrame:
@@ -76,9 +87,9 @@ def join_per_key(
     heavy = heavy_keys(facts, keys, "_heavy")
     salt = F.when(F.col("_heavy"), F.pmod(F.xxhash64(spread), F.lit(SALTS))).otherwise(F.lit(0))
     copies = F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    left = facts.join(heavy, keys, "left").withColumn("_salt", salt.cast("int")).drop("_heavy")
-    right = per_key.join(heavy, keys, "left").withColumn("_salt", F.explode(copies)).drop("_heavy")
-    return left.join(right, [*keys, "_salt"]).drop("_salt")
+    left = join_by_keys(facts, heavy, keys, "left").withColumn("_salt", salt.cast("int")).drop("_heavy")
+    right = join_by_keys(per_key, heavy, keys, "left").withColumn("_salt", F.explode(copies)).drop("_heavy")
+    return join_by_keys(left, right, [*keys, "_salt"]).drop("_salt")
 
 
 def segment(seq: Column | str, rows: int = SEGMENT_ROWS) -> Column:
@@ -107,7 +118,7 @@ def segmented(
     """
     keys = list(keys)
     number = F.when(F.col("_heavy"), segment_number).otherwise(F.lit(0)).cast("bigint")
-    cut = df.join(heavy_keys(df, keys, "_heavy"), keys, "left").withColumn("_segment", number)
+    cut = join_by_keys(df, heavy_keys(df, keys, "_heavy"), keys, "left").withColumn("_segment", number)
 
     def marked(rows: DataFrame) -> DataFrame:
         for name, column in local(W.partitionBy(*keys, "_segment").orderBy(*order)).items():
@@ -122,7 +133,7 @@ def segmented(
         carried = carried.withColumns(step)
         inherited.extend(step)
     handed_on = carried.select(*keys, "_segment", *inherited)
-    return marked(cut).join(handed_on, [*keys, "_segment"], "left").drop("_segment", "_heavy")
+    return join_by_keys(marked(cut), handed_on, [*keys, "_segment"], "left").drop("_segment", "_heavy")
 
 
 def so_far(window: W) -> W:

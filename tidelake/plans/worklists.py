@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.functions.text import ordered_distinct_codes, season_code
+from tidelake.functions.text import ordered_distinct_codes, season_code, season_problem
 from tidelake.functions.times import inclusive_days, inclusive_range
 from tidelake.schemas import (
     FOOTBALL_SEASON_URL,
@@ -27,7 +27,8 @@ def _filled(template: str, **values: Column) -> Column:
 def season_league_worklist(requests: DataFrame) -> DataFrame:
     """Seasons x leagues of each request: from_year, to_year, leagues (comma-separated).
 
-    Years ascend, leagues keep the order of the request, each once.
+    Years ascend, leagues keep the order of the request, each once.  A year without a season code
+    keeps its rows, with the reason in ``reject_reason`` and neither partition nor address.
     """
     codes = ordered_distinct_codes(F.split("leagues", ","))
     leagues = F.when(F.size(codes) > 0, codes).otherwise(
@@ -35,7 +36,7 @@ def season_league_worklist(requests: DataFrame) -> DataFrame:
     )
     return (
         requests.withColumn("start_year", F.explode(inclusive_range(F.col("from_year"), F.col("to_year"))))
-        .withColumn("season", season_code("start_year"))
+        .withColumns({"season": season_code("start_year"), "reject_reason": season_problem("start_year")})
         .select("*", F.posexplode(leagues).alias("position", "league"))
         .drop("leagues", "from_year", "to_year")
         .withColumns(
@@ -116,7 +117,17 @@ def match_event_worklist(matches: DataFrame, max_matches: int | None = None) ->
     )
 
 
-def day_worklist(requests: DataFrame) -> DataFrame:
-    """One row per day of each request: from_day, to_day, both included, at most 31 days."""
-    days = inclusive_days(F.col("from_day"), F.col("to_day"))
-    return requests.withColumn("day", F.explode(days)).drop("from_day", "to_day")
+def day_worklist(requests: DataFrame, max_days: int | None = None) -> DataFrame:
+    """One row per day of each request: from_day, to_day, both included.
+
+    ``max_days`` (off by default) refuses longer requests, each on its own: one row without a day
+    and with the reason in ``reject_reason``.
+    """
+    start, end = F.col("from_day"), F.col("to_day")
+    too_long = F.lit(False) if max_days is None else F.datediff(end, start) >= max_days
+    reason = F.concat(F.lit("more days than "), F.lit(max_days).cast("string"))
+    return (
+        requests.withColumn("reject_reason", F.when(too_long, reason))
+        .withColumn("day", F.explode(F.when(too_long, F.array(F.lit(None).cast("date"))).otherwise(inclusive_days(start, end))))
+        .drop("from_day", "to_day")
+    )

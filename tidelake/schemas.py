@@ -24,9 +24,6 @@ REQUIRED_PARTITION_KEYS = ["max_ts", "min_ts", "rows", "updated_at"]
 
 # Datasets whose source file a later run reads again, so it is never pruned.
 READBACK_DATASETS = ["statsbomb_competitions", "statsbomb_matches"]
-MAX_OBJECT_BYTES = 256 * 1024 * 1024
-MAX_DOWNLOAD_BYTES = 2_000_000_000
-MAX_UNZIPPED_BYTES = 8_000_000_000
 
 # Field names that look like credentials, matched anywhere in the name, any case.
 SENSITIVE_KEY_PATTERN = r"(?i)authorization|cookie|password|secret|api[_-]?key|token"
@@ -52,7 +49,6 @@ IDLE_RUN_THRESHOLD = 3
 UNHEALTHY_STATUSES = ["failing", "stale", "degraded", "idle"]
 STATUS_ORDER = ["failing", "stale", "degraded", "idle", "never-run", "skipped"]
 
-MAX_DAYS_PER_RUN = 31
 FIRST_SEASON, LAST_SEASON = 1990, 2098
 # first month of the season that a calendar year opens
 SEASON_START_MONTH = {"soccer": 7, "american-football": 7, "ice-hockey": 9}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,16 +19,26 @@ def pin_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as the cluster names it.
 
-    Only where the cluster names none (tests on one machine) is a temporary
-    folder chosen and set, once per session.
+    Only a session on one machine (master ``local``) may leave it unset; a temporary folder is
+    then chosen and set, once per session.  Elsewhere executors would not see one another's files.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        master = spark.conf.get("spark.master", "")
+        if not re.match(r"local($|\[)", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="tidelake-")
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never reused path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh, never reused path below the shared folder; it goes when the session's JVM ends."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    # The file system only notes paths that exist.
+    files.mkdirs(hadoop)
+    files.deleteOnExit(hadoop)
+    files.delete(hadoop, False)
+    return path

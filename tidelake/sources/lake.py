@@ -24,6 +24,7 @@ from tidelake.schemas import (
     SOURCE_FILE_PREFIX,
     STAGING_DIR,
 )
+from tidelake.sources.dumps import united_parquet
 from tidelake.sources.paths import open_in_task
 
 
@@ -80,15 +81,13 @@ def is_layout(column: str) -> bool:
 
 
 def read_bulk(spark: SparkSession, root: str, dataset: str) -> DataFrame:
-    """An imported dataset, all versions; columns added over the years are merged.
+    """An imported dataset, all versions; columns and types that changed over the years are united.
 
     Folder names stay text: left to be guessed, a season 0405 or a version of
     digits only would turn into numbers.
     """
     path = archive_path(root, dataset)
-    found = spark.read.option("mergeSchema", True).parquet(path).schema
-    fields = [T.StructField(f.name, T.StringType() if is_layout(f.name) else f.dataType) for f in found]
-    return spark.read.schema(T.StructType(fields)).parquet(path)
+    return united_parquet(spark, [path], fixed=is_layout)
 
 
 def relative_key(path: Column, root: str) -> Column:

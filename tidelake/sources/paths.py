@@ -7,8 +7,21 @@ import re
 import pyarrow.fs
 
 
+def _located(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """File system and path of a path as Spark spells it; local ones have a single slash or no scheme."""
+    spelled = re.sub(r"^file:/(?!/)", "file:///", path if "://" in path or path.startswith("file:") else f"file://{path}")
+    return pyarrow.fs.FileSystem.from_uri(spelled)
+
+
 def open_in_task(path: str):
-    """A file handle for a path as Spark spells it; local ones have a single slash."""
-    spelled = re.sub(r"^file:/(?!/)", "file:///", path)
-    filesystem, inner = pyarrow.fs.FileSystem.from_uri(spelled)
+    """A file handle for reading."""
+    filesystem, inner = _located(path)
     return filesystem.open_input_file(inner)
+
+
+def write_in_task(path: str, body: bytes) -> None:
+    """Write a small file, its folder included."""
+    filesystem, inner = _located(path)
+    filesystem.create_dir(inner.rsplit("/", 1)[0])
+    with filesystem.open_output_stream(inner) as handle:
+        handle.write(body)

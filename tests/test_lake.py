@@ -73,9 +73,9 @@ def test_a_write_reads_only_touched_days(spark, tmp_path):
     items = [event(number=i, day=f"2026-07-{10 + i}") for i in range(8)]
     ar.write_event_archive(snapshots(spark, *items), str(tmp_path))
     incoming = m.add_partition_columns(snapshots(spark, event("FT", day="2026-07-12")))
-    near = ar._touched(lake.read_archive(spark, str(tmp_path), EVENTS_DATASET), incoming)
+    near = lake.read_archive(spark, str(tmp_path), EVENTS_DATASET).where(ar.near_partitions(incoming))
     plan = near._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
     assert near.count() == 1
 
 
@@ -393,3 +393,43 @@ def test_manifests_of_drifting_versions(spark, tmp_path):
     schema = json.loads(lake.read_manifest(spark, str(tmp_path), "d").first().body)["schema"]
     assert schema["v"] in ("int32", "double") and schema["source_row_number"] == "int64" and "version" not in schema
     assert sorted(r.v for r in lake.read_bulk(spark, str(tmp_path), "d").collect()) == [1.0, 1.5, 2.0]
+
+
+def test_an_outlier_date_costs_two_partitions_not_the_span(spark, tmp_path):
+    root = str(tmp_path)
+    days = [f"2026-03-{d:02d}" for d in range(1, 29)]
+    ar.write_event_archive(snapshots(spark, *[event(day=day, number=k, sport="Soccer") for k, day in enumerate(days)]), root)
+    parts = spark.createDataFrame([("thesportsdb", "soccer", d) for d in ("1990-01-01", "2026-03-05")], "source_slug string, sport_slug string, event_date string").withColumn("event_date", F.to_date("event_date"))
+    near = ar.near_partitions(parts)
+    read = lake.read_archive(spark, root, EVENTS_DATASET).where(near)
+    assert [str(r.event_date) for r in read.select("event_date").distinct().collect()] == ["2026-03-05"]
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan
+    scoped = n.provider_scope(lake.read_archive(spark, root, EVENTS_DATASET), sport="Soccer")
+    assert "PartitionFilters: [isnotnull(sport_slug" in scoped._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_new_checkpoint_keeps_every_log_row(spark, tmp_path):
+    shape = "job string, seq bigint, ts timestamp, status string, fetched bigint, added bigint, detail string"
+    for turn in range(2):
+        rows = [(None if k % 5 == 0 else f"j{k % 3}", turn * 50 + k, SEEN, "ok", 1, 1, "") for k in range(50)]
+        spark.createDataFrame(rows, shape).write.parquet(str(tmp_path / f"in{turn}"))
+        log = spark.readStream.schema(shape).parquet(str(tmp_path / f"in{turn}"))
+        st.stream_job_health(log, str(tmp_path / "log"), str(tmp_path / "health"), str(tmp_path / f"check{turn}")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 100
+    runs = {r.job: r.runs for r in st.current_health(spark, str(tmp_path / "health")).collect()}
+    assert sum(runs.values()) == 100 and runs[None] == 20
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    from tidelake import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return "spark://host:7077" if key == "spark.master" else None
+
+    class Fake:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Fake())

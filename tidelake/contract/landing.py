@@ -23,6 +23,7 @@ from tidelake.operators import archive as ar
 from tidelake.operators import bulk as b
 from tidelake.operators import bulk_archive as ba
 from tidelake.operators import catalog as c
+from tidelake.operators import mirror as mi
 from tidelake.schemas import EVENT_SNAPSHOT, EVENTS_DATASET, ODDS_DATASET, ODDS_SNAPSHOT
 from tidelake.session import scratch_path
 from tidelake.sources import dumps as du
@@ -202,7 +203,7 @@ def read_csv_source_older_header(spark, sf):
     return rows.select("c_name", "c_mktsegment", "c_nationkey", "numbered")
 
 
-def _zip_writer(folder: str):
+def _zip_writer(folder: str, header: str = "event_id,label,props"):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """One archive per task, with one CSV member and a member of another kind."""
         from pyspark import TaskContext
@@ -216,7 +217,7 @@ def _zip_writer(folder: str):
             packed = io.BytesIO()
             with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
                 archive.writestr("readme.txt", "events")
-                archive.writestr("data/events.CSV", "﻿event_id,label,props\n" + "\n".join(lines) + "\n")
+                archive.writestr("data/events.CSV", "\ufeff" + header + "\n" + "\n".join(lines) + "\n")
             name = f"{folder}/part-{TaskContext.get().partitionId()}.zip"
             filesystem, inner = pyarrow.fs.FileSystem.from_uri(name if "://" in name else f"file://{name}")
             filesystem.create_dir(inner.rsplit("/", 1)[0])
@@ -306,6 +307,92 @@ def write_bulk_version(spark, sf):
     )
 
 
+def _bulk_files(d: DataFrame, dataset: str, partition) -> tuple[DataFrame, DataFrame]:
+    """A dump file for each language: (files, rows) as the importer takes them."""
+    content, path = F.sha2("lang", 256), F.concat(F.lit("landing/"), "lang")
+    files = d.select("lang").distinct().select(
+        path.alias("seq"), F.lit(dataset).alias("dataset"), partition.alias("partition"), content.alias("source_sha256"),
+        F.lit("").alias("source_url"), F.lit("text/csv").alias("source_media_type"), F.concat("lang", F.lit(".csv")).alias("source_filename"),
+        F.lit("2024-01-31T00:00:00+00:00").alias("fetched_at"), F.lit("terms").alias("license_name"),
+        F.lit("").alias("license_url"), path.alias("source_path"),
+    )
+    order = W.partitionBy("lang").orderBy("doc_id")
+    rows = b.add_provenance(
+        d.select("doc_id", path.alias("source_path"), content.alias("sha"), (F.row_number().over(order) - 1).alias("n")),
+        F.col("sha"), F.col("n"), v.now(),
+    ).drop("sha", "n")
+    return files, rows
+
+
+@query(
+    "bulk_round_trip",
+    """SELECT 'season=' || s AS partition, sha256(lang)[1:16] AS version, count(*) AS rows, true AS found, 0 AS repeated, 1 AS restored
+       FROM documents CROSS JOIN (SELECT unnest([2024, 2025]) AS s) GROUP BY s, lang""",
+)
+def bulk_round_trip(spark, sf):
+    """The same content under two seasons is kept twice; importing again adds nothing, except the one version whose
+    record names a folder that is not there; every record's folder is found in the inventory of files."""
+    root, d = scratch_path(spark, "bulk"), v.table(spark, sf, "documents").select("doc_id", "lang")
+    seasons = [_bulk_files(d, "documents", F.lit(f"season={year}")) for year in (2024, 2025)]
+    # One of the versions was recorded, but its folder is lost.
+    first = seasons[0][0].orderBy("seq").limit(1)
+    lost = first.drop("seq", "source_path", "source_filename").withColumns(
+        {"source_file": F.lit("gone"), "data_file": F.lit("documents/part_season=2024/version=gone"), "rows": F.lit(1).cast("bigint"),
+         "source_pruned": F.lit(None).cast("boolean"), "source_remote_key": F.lit(None).cast("string")}
+    )
+    lost.withColumn("generation", F.lit(0).cast("bigint")).write.mode("append").parquet(f"{root}/{ba.ARTIFACTS_TABLE}")
+    added = [ba.write_bulk_version(files, rows, root, "documents").added for files, rows in seasons]
+    again = [ba.write_bulk_version(files, rows, root, "documents").added for files, rows in seasons]
+    folders = lake.scan_inventory(spark, root).where("is_parquet").select(F.regexp_replace("key", "/[^/]*$", "").alias("data_file"), F.lit(True).alias("found")).distinct()
+    records = ba.current_artifacts(ba.read_artifacts(spark, root)).join(folders, "data_file", "left")
+    stored = lake.read_bulk(spark, root, "documents").groupBy("part_season", "version").count()
+    return records.join(
+        stored, (F.concat(F.lit("season="), "part_season") == F.col("partition")) & (F.substring("source_sha256", 1, 16) == F.col("version"))
+    ).select(
+        "partition", "version", F.col("count").alias("rows"), F.coalesce("found", F.lit(False)).alias("found"),
+        F.lit(sum(again)).alias("repeated"), F.lit(int(added[0] == seasons[0][0].count())).alias("restored"),
+    )
+
+
+@query(
+    "read_parquet_source_drift",
+    """SELECT o_orderkey, CAST(CASE o_orderkey % 3 WHEN 0 THEN floor(o_totalprice) WHEN 1 THEN o_totalprice END AS DOUBLE) AS price,
+              CASE WHEN o_orderkey % 3 = 1 THEN o_orderpriority END AS priority, true AS numbered FROM orders""",
+)
+def read_parquet_source_drift(spark, sf):
+    """Three generations of files: whole prices, then fractions and a column more, then neither."""
+    path, o = scratch_path(spark, "seasons"), v.table(spark, sf, "orders")
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    o.where(key % 3 == 0).select("o_orderkey", F.floor(price).cast("int").alias("price")).write.parquet(f"{path}/1")
+    o.where(key % 3 == 1).select("o_orderkey", price.alias("price"), F.col("o_orderpriority").alias("priority")).write.parquet(f"{path}/2")
+    o.where(key % 3 == 2).select("o_orderkey").write.parquet(f"{path}/3")
+    rows = du.read_parquet_source(spark, [f"{path}/{n}" for n in (1, 2, 3)])
+    return _numbered(rows).select("o_orderkey", "price", "priority", "numbered")
+
+
+@query(
+    "mirror_round_trip",
+    """SELECT doc_id, n, CASE WHEN doc_id % 7 = 3 THEN 'no copy' WHEN doc_id % 7 = 5 THEN 'differs' ELSE 'equal' END AS verdict
+       FROM (SELECT doc_id % 50 AS doc_id, count(*) AS n FROM documents GROUP BY doc_id % 50)""",
+)
+def mirror_round_trip(spark, sf):
+    """Files written from the documents to a lake and its mirror; one copy in seven is missing and one differs."""
+    base = scratch_path(spark, "mirror")
+    d = v.table(spark, sf, "documents").select((F.col("doc_id") % 50).alias("part"), "doc_id", "text")
+    part = F.col("part") % 7
+    d.repartition(4, "part").write.partitionBy("part").parquet(f"{base}/lake/docs")
+    copies = d.where(part != 3).withColumn("text", F.when(part == 5, F.concat("text", F.lit("!"))).otherwise(F.col("text")))
+    copies.repartition(4, "part").write.partitionBy("part").parquet(f"{base}/mirror/docs")
+    name = F.regexp_extract("key", "^(.*part=[0-9]+)/", 1)
+    ours = lake.lake_inventory(spark, f"{base}/lake").withColumn("key", name)
+    theirs = lake.lake_inventory(spark, f"{base}/mirror").withColumn("key", name).select("key", "digest", "rows")
+    checked = mi.verify_mirror(ours, theirs).select("key", "problem", F.lit(True).alias("held"))
+    verdict = F.when(F.col("held").isNull(), "no copy").when(F.col("problem").isNotNull(), "differs").otherwise("equal")
+    return ours.join(checked, "key", "left").select(
+        F.regexp_extract("key", "part=([0-9]+)", 1).cast("bigint").alias("doc_id"), F.col("rows").alias("n"), verdict.alias("verdict")
+    )
+
+
 @query(
     "read_provenance",
     with_views("SELECT dataset, partition, source_sha256, rows, source_pruned FROM artifacts", "artifacts"),
@@ -408,6 +495,85 @@ def stream_bulk_import(spark, sf):
     return lake.read_bulk(spark, f"{base}/lake", "customers").select("external_id", "payload_json")
 
 
+_IMPORTED_CSV = "SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, 4 AS files, 1 AS again FROM customer"
+
+
+def _imported(spark, base: str, file_format: str) -> DataFrame:
+    """Stream the landed files twice from fresh checkpoints: the second stream finds all content stored."""
+    for turn in range(2):
+        st.stream_bulk_import(
+            spark, f"{base}/landing", None, f"{base}/lake", "customers", "scope=all", f"{base}/checkpoint{turn}",
+            files_per_batch=3, file_format=file_format,
+        ).awaitTermination()
+    rows = lake.read_bulk(spark, f"{base}/lake", "customers")
+    records = ba.read_artifacts(spark, f"{base}/lake")
+    counts = records.agg(F.count_distinct("source_sha256").alias("files"), (F.count("*") / F.count_distinct("source_sha256")).alias("again"))
+    files, again = counts.first()
+    return rows.select(F.col("c_custkey").cast("string").alias("c_custkey"), "c_name", F.lit(files).cast("int").alias("files"), F.lit(int(again)).alias("again"))
+
+
+def _landed_customers(spark, sf) -> DataFrame:
+    return v.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("c_custkey"), "c_name").repartition(4, "c_custkey")
+
+
+@query("stream_bulk_import_csv", _IMPORTED_CSV)
+def stream_bulk_import_csv(spark, sf):
+    base = scratch_path(spark, "stream")
+    _landed_customers(spark, sf).write.option("header", True).csv(f"{base}/landing")
+    return _imported(spark, base, "csv")
+
+
+@query("stream_bulk_import_zip", _IMPORTED_CSV)
+def stream_bulk_import_zip(spark, sf):
+    base = scratch_path(spark, "stream")
+    _landed_customers(spark, sf).mapInArrow(_zip_writer(f"{base}/landing", "c_custkey,c_name"), "rows bigint").count()
+    return _imported(spark, base, "zip")
+
+
+@query("stream_bulk_import_parquet", _IMPORTED_CSV)
+def stream_bulk_import_parquet(spark, sf):
+    base = scratch_path(spark, "stream")
+    _landed_customers(spark, sf).write.parquet(f"{base}/landing")
+    return _imported(spark, base, "parquet")
+
+
+@query(
+    "collect_and_report",
+    """SELECT 'sports_events/source_slug=thesportsdb/sport_slug=' || slug || '/event_date=' || day AS partition, count(*) AS rows,
+              'ok' AS last_status, 2 AS runs, true AS as_rebuilt
+       FROM (SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day,
+                    (['soccer','baseball','basketball','ice-hockey','american-football'])[CAST(user_id % 5 AS INTEGER) + 1] AS slug FROM events)
+       GROUP BY slug, day""",
+)
+def collect_and_report(spark, sf):
+    """Collect in two batches; every batch refreshes the manifest entries it touched and notes its outcome, from which
+    the health stream keeps its registry.  The manifest equals one derived anew."""
+    base = scratch_path(spark, "stream")
+    bodies = _event_feed(spark, sf).select("event_id", F.concat(F.lit('{"events":['), "payload", F.lit("]}")).alias("body"))
+    _land(bodies, f"{base}/landing")
+    st.stream_event_archive(
+        spark, f"{base}/landing", "thesportsdb", f"{base}/lake", f"{base}/checkpoint", per_line=True, files_per_batch=3, run_log=f"{base}/runs"
+    ).awaitTermination()
+    outcomes = spark.read.parquet(f"{base}/runs").drop("stream", "batch")
+    log = spark.readStream.schema(outcomes.schema).parquet(f"{base}/runs").select(*outcomes.columns)
+    st.stream_job_health(log, f"{base}/log", f"{base}/health", f"{base}/checkpoint-health").awaitTermination()
+    health = st.current_health(spark, f"{base}/health").first()
+    shape = "partitions map<string, struct<rows:bigint, min_ts:string, max_ts:string>>"
+
+    def entries() -> DataFrame:
+        bodies = lake.read_manifest(spark, f"{base}/lake", EVENTS_DATASET)
+        return bodies.select(F.explode(F.from_json("body", shape)["partitions"]).alias("partition", "e")).select("partition", "e.*")
+
+    refreshed = scratch_path(spark, "entries")
+    entries().write.parquet(refreshed)
+    ba.rebuild_catalogs(spark, f"{base}/lake", v.now())
+    mine = spark.read.parquet(refreshed)
+    same = mine.exceptAll(entries()).isEmpty() and entries().exceptAll(mine).isEmpty()
+    return mine.select(
+        "partition", "rows", F.lit(health.last_status).alias("last_status"), F.lit(int(health.runs)).alias("runs"), F.lit(same).alias("as_rebuilt")
+    )
+
+
 def _write_json_lists(items: DataFrame, folder: str) -> None:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext

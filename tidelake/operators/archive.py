@@ -11,7 +11,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -23,6 +24,7 @@ from tidelake.schemas import (
     ODDS_SNAPSHOT,
     PARTITION_COLUMNS,
 )
+from tidelake.session import scratch_path
 from tidelake.sources.lake import archive_path, path_exists, read_archive
 
 
@@ -32,8 +34,11 @@ class VerificationError(RuntimeError):
 
 @dataclass(frozen=True)
 class WriteResult:
+    """What a write did; ``touched`` has a row (partition columns, fetched, added) for each partition it fell on."""
+
     received: int
     added: int
+    touched: DataFrame | None = None
 
 
 def sort_events(snapshots: DataFrame) -> DataFrame:
@@ -46,56 +51,83 @@ def sort_odds(snapshots: DataFrame) -> DataFrame:
     return snapshots.sortWithinPartitions(*PARTITION_COLUMNS, "event_ts", *NATURAL_KEY)
 
 
-def _touched(stored: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Stored rows of the partitions the incoming rows fall into.
+#: Ranges of days that a merge reads, at most, besides one for each source and sport.
+MOST_RANGES = 500
+
 
-    The span of days, one row, prunes directories before anything is read; the
-    semi join then leaves only the partitions touched.
+def near_partitions(parts: DataFrame, most: int = MOST_RANGES) -> Column:
+    """A partition filter that holds all the partitions of ``parts`` and little else.
+
+    Days of a source and sport are joined to ranges; where there are more than ``most`` gaps, the widest
+    stay out.  One outlier date so costs one more range, not the whole span.  Sources and sports
+    are settings, so the driver sees a bounded number of rows.
     """
-    span = incoming.agg(F.min("event_date"), F.max("event_date")).first()
-    near = stored.where(F.col("event_date").between(F.lit(span[0]), F.lit(span[1])))
-    return near.join(incoming.select(*PARTITION_COLUMNS).distinct(), PARTITION_COLUMNS, "left_semi")
+    keys = ["source_slug", "sport_slug"]
+    spans = parts.groupBy(*keys).agg(F.min("event_date").alias("first"), F.max("event_date").alias("last")).collect()
+    before = F.lag("event_date").over(W.partitionBy(*keys).orderBy("event_date"))
+    gap = F.datediff("event_date", "before")
+    gaps = parts.select(*keys, "event_date").distinct().withColumn("before", before).where(gap > 1)
+    cuts: dict[tuple[str, str], list] = {}
+    for row in gaps.orderBy(gap.desc(), *keys, "event_date").limit(most).collect():
+        cuts.setdefault((row.source_slug, row.sport_slug), []).append((row.before, row.event_date))
+    near = F.lit(False)
+    for span in spans:
+        here = sorted(cuts.get((span.source_slug, span.sport_slug), []))
+        starts, ends = [span.first, *(c[1] for c in here)], [*(c[0] for c in here), span.last]
+        days = F.lit(False)
+        for start, end in zip(starts, ends, strict=True):
+            days = days | F.col("event_date").between(F.lit(start), F.lit(end))
+        near = near | ((F.col("source_slug") == span.source_slug) & (F.col("sport_slug") == span.sport_slug) & days)
+    return near
 
 
 def _write(
     snapshots: DataFrame, root: str, dataset: str, shape, order: Sequence[Column | str], sort
 ) -> WriteResult:
+    """One copy of the first arrivals is kept, so that parsing and hashing run once; besides it only
+    keys travel.  Lost blocks are recomputed."""
     spark = snapshots.sparkSession
     path = archive_path(root, dataset)
     columns = [*shape.fieldNames(), *PARTITION_COLUMNS]
-    # Kept so that parsing and hashing run once; lost blocks are recomputed.
-    dated = add_partition_columns(snapshots).persist(StorageLevel.MEMORY_AND_DISK)
+    arrived = Observation()
+    dated = add_partition_columns(snapshots).observe(arrived, F.count("*").alias("n"))
     first = keep_first(dated, order).select(*columns).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        received = dated.count()
-        if received == 0:
+        parts = first.groupBy(*PARTITION_COLUMNS).agg(F.count("*").alias("_first")).persist()
+        if parts.count() == 0:
             return WriteResult(0, 0)
+        received = arrived.get["n"]
+        near = near_partitions(parts)
         delta = first
+        new = first.select(*MERGE_KEY)
         if path_exists(spark, path):
-            stored = _touched(read_archive(spark, root, dataset), first)
-            delta = first.join(stored.select(*MERGE_KEY), MERGE_KEY, "left_anti")
-        delta = delta.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            added = delta.count()
-            if added:
-                # Rebalancing gathers a partition's rows into few files and splits a
-                # partition that is too large for one task.
-                spread = delta.hint("rebalance", *PARTITION_COLUMNS)
-                sort(spread).write.mode("append").partitionBy(*PARTITION_COLUMNS).option(
-                    "compression", "zstd"
-                ).parquet(path)
-            verify_stored(first, read_archive(spark, root, dataset))
-        finally:
-            delta.unpersist()
-        return WriteResult(received, added)
+            stored = read_archive(spark, root, dataset).where(near).select(*MERGE_KEY)
+            new = new.join(stored, MERGE_KEY, "left_anti")
+            delta = first.join(stored, MERGE_KEY, "left_anti")
+        counts = new.groupBy(*PARTITION_COLUMNS).agg(F.count("*").alias("added"))
+        touched = parts.join(counts, PARTITION_COLUMNS, "left").select(
+            *PARTITION_COLUMNS, F.col("_first").alias("fetched"), F.coalesce("added", F.lit(0)).cast("bigint").alias("added")
+        )
+        noted = scratch_path(spark, "touched")
+        touched.write.parquet(noted)
+        touched = spark.read.schema(touched.schema).parquet(noted)
+        added = touched.agg(F.sum("added")).first()[0]
+        if added:
+            # Rebalancing gathers a partition's rows into few files and splits a
+            # partition that is too large for one task.
+            spread = delta.hint("rebalance", *PARTITION_COLUMNS)
+            sort(spread).write.mode("append").partitionBy(*PARTITION_COLUMNS).option(
+                "compression", "zstd"
+            ).parquet(path)
+        verify_stored(first, read_archive(spark, root, dataset).where(near))
+        return WriteResult(received, added, touched)
     finally:
         first.unpersist()
-        dated.unpersist()
 
 
 def verify_stored(expected: DataFrame, archive: DataFrame) -> None:
     """Fail unless every expected key is stored, and stored exactly once."""
-    stored = _touched(archive, expected).groupBy(*MERGE_KEY).agg(F.count("*").alias("copies"))
+    stored = archive.groupBy(*MERGE_KEY).agg(F.count("*").alias("copies"))
     checked = expected.select(*MERGE_KEY).join(stored, MERGE_KEY, "left")
     verdict = checked.agg(
         F.count_if(F.col("copies").isNull()).alias("missing"),

@@ -9,10 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.storagelevel import StorageLevel
 
 from tidelake.functions.text import safe_component
-from tidelake.operators.archive import VerificationError
+from tidelake.operators.archive import VerificationError, near_partitions
 from tidelake.operators.bulk import ARTIFACT_KEY, new_artifacts, row_count_mismatches
 from tidelake.operators.catalog import (
     iso_text,
@@ -26,12 +27,15 @@ from tidelake.schemas import (
     ARTIFACT,
     BULK_KEY,
     CATALOG_DIR,
+    EVENT_SNAPSHOT,
     EVENTS_DATASET,
     NATURAL_KEY,
     ODDS_DATASET,
+    ODDS_SNAPSHOT,
     PARTITION_COLUMNS,
     PROVENANCE_FILE,
 )
+from tidelake.session import scratch_path
 from tidelake.sources.dumps import parquet_columns
 from tidelake.sources.lake import archive_path, path_exists, read_archive, relative_key, scan_files
 from tidelake.sources.paths import write_in_task
@@ -267,15 +271,42 @@ def _schema_map(spark: SparkSession, root: str, dataset: str) -> dict[str, str]:
     return {row.name: row.type for row in union.orderBy("name").collect()}
 
 
+def _snapshot_types(dataset: str) -> dict[str, str]:
+    """Column to Arrow type name of a snapshot archive; its shape is the contract, no file is looked at."""
+    shape = EVENT_SNAPSHOT if dataset == EVENTS_DATASET else ODDS_SNAPSHOT
+    return {field.name: str(field.type) for field in to_arrow_schema(shape)}
+
+
 def write_snapshot_manifest(spark: SparkSession, root: str, dataset: str, now: Column) -> None:
     """Derive and publish the manifest of an event or odds archive."""
     archive = read_archive(spark, root, dataset)
     entries = manifest_partitions(partition_stats(archive), partition_key(dataset), now)
-    columns = _schema_map(spark, root, dataset)
-    lines = manifest_lines(entries, columns, dataset, "event_ts", NATURAL_KEY, now)
+    lines = manifest_lines(entries, _snapshot_types(dataset), dataset, "event_ts", NATURAL_KEY, now)
     _write_lines(lines, root, dataset)
 
 
+def refresh_snapshot_manifest(spark: SparkSession, root: str, dataset: str, touched: DataFrame, now: Column) -> None:
+    """Replace the manifest entries of the partitions that a write touched; the others stay as they are.
+
+    Only the touched partitions are read.  Without a manifest all of it is derived.
+    """
+    path = f"{root.rstrip('/')}/{CATALOG_DIR}/{dataset}.json"
+    if not path_exists(spark, path):
+        write_snapshot_manifest(spark, root, dataset, now)
+        return
+    archive = read_archive(spark, root, dataset).where(near_partitions(touched))
+    fresh = archive.join(touched.select(*PARTITION_COLUMNS), PARTITION_COLUMNS, "left_semi")
+    entries = manifest_partitions(partition_stats(fresh), partition_key(dataset), now)
+    known = spark.read.text(path).select("value", F.map_keys(F.from_json("value", "partitions map<string,string>")["partitions"])[0].alias("partition"))
+    replaced = touched.select(partition_key(dataset).alias("partition"))
+    kept = known.join(replaced, "partition", "left_anti").select("value")
+    lines = manifest_lines(entries, _snapshot_types(dataset), dataset, "event_ts", NATURAL_KEY, now)
+    # The new manifest is complete before the old one is replaced by it.
+    staged = scratch_path(spark, "manifest")
+    kept.unionByName(lines).write.text(staged)
+    _write_lines(spark.read.text(staged), root, dataset)
+
+
 def write_bulk_manifest(spark: SparkSession, root: str, dataset: str, now: Column) -> None:
     """Derive and publish the manifest of an imported dataset from its records and data."""
     records = current_artifacts(read_artifacts(spark, root).where(F.col("dataset") == dataset))

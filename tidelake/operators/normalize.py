@@ -23,6 +23,7 @@ from tidelake.functions.status import game_status, match_status, schedule_status
 from tidelake.functions.text import (
     not_blank,
     optional_text,
+    slug,
     split_away_at_home,
     strip,
     team_name,
@@ -291,7 +292,7 @@ def provider_scope(
 ) -> DataFrame:
     """Optional day, sport and league restriction; blank means no restriction.
 
-    On an archive scan the day becomes a partition filter.
+    On an archive scan the day and the sport become partition filters.
     """
     scoped = snapshots
     if day is not None:
@@ -299,6 +300,8 @@ def provider_scope(
         scoped = scoped.where((F.col("event_date") if partitioned else F.to_date("event_ts")) == day)
     if sport and sport.strip():
         scoped = scoped.where(F.col("sport") == sport.strip())
+        if "sport_slug" in snapshots.columns:
+            scoped = scoped.where(F.col("sport_slug") == slug(F.lit(sport.strip())))
     if league and league.strip():
         scoped = scoped.where(F.col("league_name") == league.strip())
     return scoped

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -102,6 +103,35 @@ def scan_files(spark: SparkSession, root: str) -> DataFrame:
     return files.withColumn("key", relative_key(F.col("path"), root))
 
 
+def digest_files(files: DataFrame) -> DataFrame:
+    """(path, digest, rows) of files named by ``path``: SHA-256, and the rows of Parquet files from their footers.
+
+    Tasks read a file in chunks, so it may be of any size.
+    """
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, digests, rows = batch.column("path").to_pylist(), [], []
+            for name in paths:
+                digest = hashlib.sha256()
+                with open_in_task(name) as handle:
+                    while chunk := handle.read(8 << 20):
+                        digest.update(chunk)
+                    rows.append(pq.read_metadata(handle).num_rows if name.endswith(".parquet") else None)
+                digests.append(digest.hexdigest())
+            columns = [pa.array(paths, pa.string()), pa.array(digests, pa.string()), pa.array(rows, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["path", "digest", "rows"])
+
+    return files.select("path").mapInArrow(read, "path string, digest string, rows bigint")
+
+
+def lake_inventory(spark: SparkSession, root: str) -> DataFrame:
+    """``scan_inventory`` with the digest and, for Parquet, the row count of every file."""
+    files = scan_files(spark, root).select("path", "key", "length")
+    held = digest_files(files).withColumn("key", relative_key(F.col("path"), root)).drop("path")
+    return inventory(files).join(held, "key")
+
+
 def inventory(files: DataFrame) -> DataFrame:
     """Mirrorable files from ``key`` and ``length``: no staging area, no unfinished files."""
     parts = F.split("key", "/")

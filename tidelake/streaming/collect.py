@@ -7,22 +7,25 @@ because a batch replayed after a failure finds its rows already stored.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.storagelevel import StorageLevel
 
-from tidelake.operators.archive import write_event_archive, write_odds_archive
+from tidelake.operators.archive import WriteResult, write_event_archive, write_odds_archive
 from tidelake.operators.bulk import add_provenance
-from tidelake.operators.bulk_archive import write_bulk_version
+from tidelake.operators.bulk_archive import refresh_snapshot_manifest, write_bulk_version
 from tidelake.operators.health import health_fold, resume_health
 from tidelake.operators.normalize import NORMALIZERS, accepted, quarantine
 from tidelake.operators.quota import quota_admission
-from tidelake.sources.dumps import json_list_rows
+from tidelake.operators.skew import join_by_keys
+from tidelake.schemas import EVENTS_DATASET, ODDS_DATASET
+from tidelake.sources.dumps import read_csv_source, read_json_list_source, read_parquet_source, read_zip_csv_source
 from tidelake.sources.envelopes import envelope_items, refused_envelopes, stream_landed
-from tidelake.sources.lake import path_exists
+from tidelake.sources.lake import digest_files
 
 
 def _start(
@@ -38,26 +41,67 @@ def _refuse(rows: DataFrame, path: str, batch: int) -> None:
     rows.write.mode("overwrite").json(f"{path.rstrip('/')}/batch={batch}")
 
 
+def _stream_id(spark: SparkSession) -> str:
+    """The running query's id.  It lives in the checkpoint: a new checkpoint is another stream."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def _log_outcome(spark: SparkSession, path: str, job: str, number: int, result: WriteResult, refused: int) -> None:
+    """One run-log row for a batch; a replayed batch replaces its own."""
+    if refused == 0:
+        status = "ok"
+    else:
+        status = "partial" if result.received else "error"
+    row = spark.range(1).select(
+        F.lit(job).alias("job"),
+        F.lit(number).cast("bigint").alias("seq"),
+        F.current_timestamp().alias("ts"),
+        F.lit(status).alias("status"),
+        F.lit(result.received).cast("bigint").alias("fetched"),
+        F.lit(result.added).cast("bigint").alias("added"),
+        F.lit(f"{refused} refused" if refused else "").alias("detail"),
+    )
+    row.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/stream={_stream_id(spark)}/batch={number}")
+
+
 def _stream_archive(
     landed: DataFrame,
     provider: str,
     root: str,
     checkpoint: str,
     write: Callable,
+    dataset: str,
     constants: dict[str, Column],
     quarantine_path: str | None,
+    run_log: str | None,
     every: str | None,
 ) -> StreamingQuery:
+    """Merge every batch, refresh the manifest entries of the partitions it touched, note its outcome."""
+
     def each(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
         items = envelope_items(batch, provider).withColumns(constants)
-        normalised = NORMALIZERS[provider](items)
-        write(accepted(normalised), root, ["observed_at", "path", "position"])
-        if quarantine_path:
-            reasons = quarantine(normalised).select("path", "position", "reject_reason")
-            whole = refused_envelopes(batch, provider).select(
-                "path", F.lit(None).cast("int").alias("position"), F.col("reason").alias("reject_reason")
-            )
-            _refuse(reasons.unionByName(whole), quarantine_path, number)
+        # Kept, so that accepted and refused items come from one parse.
+        normalised = NORMALIZERS[provider](items).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            result = write(accepted(normalised), root, ["observed_at", "path", "position"])
+            if result.touched is not None:
+                refresh_snapshot_manifest(spark, root, dataset, result.touched, F.current_timestamp())
+            refused = 0
+            if quarantine_path or run_log:
+                reasons = quarantine(normalised).select("path", "position", "reject_reason")
+                whole = refused_envelopes(batch, provider).select(
+                    "path", F.lit(None).cast("int").alias("position"), F.col("reason").alias("reject_reason")
+                )
+                every_reason = reasons.unionByName(whole).persist(StorageLevel.MEMORY_AND_DISK)
+                refused = every_reason.count()
+                if quarantine_path:
+                    _refuse(every_reason, quarantine_path, number)
+                every_reason.unpersist()
+            if run_log:
+                _log_outcome(spark, run_log, f"collect-{provider}", number, result, refused)
+        finally:
+            normalised.unpersist()
 
     return _start(landed, each, checkpoint, every)
 
@@ -73,15 +117,17 @@ def stream_event_archive(
     every: str | None = None,
     per_line: bool = False,
     files_per_batch: int = 1000,
+    run_log: str | None = None,
 ) -> StreamingQuery:
     """Landed responses of one event feed into the event archive.
 
-    Without ``every`` all files present are taken and the query ends.
+    Without ``every`` all files present are taken and the query ends.  ``run_log`` collects one
+    outcome per batch, in the shape that ``stream_job_health`` reads.
     """
     constants = {"sport_code": F.lit(sport_code)} if sport_code else {}
     landed = stream_landed(spark, landing, per_line, files_per_batch)
     return _stream_archive(
-        landed, provider, root, checkpoint, write_event_archive, constants, quarantine_path, every
+        landed, provider, root, checkpoint, write_event_archive, EVENTS_DATASET, constants, quarantine_path, run_log, every
     )
 
 
@@ -95,19 +141,36 @@ def stream_odds_archive(
     every: str | None = None,
     per_line: bool = False,
     files_per_batch: int = 1000,
+    run_log: str | None = None,
 ) -> StreamingQuery:
     """Landed odds responses of one sport; every sport is its own query, so one failing leaves the others."""
     landed = stream_landed(spark, landing, per_line, files_per_batch)
     constants = {"sport_key": F.lit(sport_key)}
     return _stream_archive(
-        landed, "odds", root, checkpoint, write_odds_archive, constants, quarantine_path, every
+        landed, "odds", root, checkpoint, write_odds_archive, ODDS_DATASET, constants, quarantine_path, run_log, every
     )
 
 
+def _json_lists(spark: SparkSession, paths: Sequence[str], id_column: str | None) -> DataFrame:
+    if id_column is None:
+        raise ValueError("JSON lists need the name of their id")
+    return read_json_list_source(spark, paths, id_column)
+
+
+#: Reader of each landed format: paths and the id's name to rows with their place.
+BULK_READERS = {
+    "json": _json_lists,
+    "csv": lambda spark, paths, _: read_csv_source(spark, paths, "*"),
+    "zip": lambda spark, paths, _: read_zip_csv_source(spark, paths, "*"),
+    "parquet": lambda spark, paths, _: read_parquet_source(spark, paths),
+}
+_MEDIA_TYPES = {"json": "application/json", "csv": "text/csv", "zip": "application/zip", "parquet": "application/vnd.apache.parquet"}
+
+
 def stream_bulk_import(
     spark: SparkSession,
     landing: str,
-    id_column: str,
+    id_column: str | None,
     root: str,
     dataset: str,
     partition: str,
@@ -116,60 +179,87 @@ def stream_bulk_import(
     license_url: str = "",
     every: str | None = None,
     files_per_batch: int = 200,
+    file_format: str = "json",
 ) -> StreamingQuery:
-    """JSON list dumps into immutable versions; a changed file becomes a new version."""
+    """Landed dumps (JSON lists, CSV, zipped CSV, Parquet) into immutable versions.
+
+    A changed file becomes a new version.  The stream carries names only; tasks digest the
+    files in chunks, and the batch readers read them, at most ``files_per_batch`` at a time.
+    """
+    read = BULK_READERS[file_format]
     files = (
         spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
         .option("maxFilesPerTrigger", files_per_batch)
         .load(landing)
+        .select("path", "modificationTime")
     )
 
     def each(batch: DataFrame, number: int) -> None:
-        landed = batch.select(
-            F.col("path").alias("source_path"),
-            F.sha2("content", 256).alias("sha256"),
-            F.col("modificationTime").alias("fetched"),
-            F.regexp_replace(F.decode("content", "UTF-8"), "^\ufeff", "").alias("body"),
-        )
-        described = landed.select(
-            F.col("source_path").alias("seq"),
-            F.lit(dataset).alias("dataset"),
-            F.lit(partition).alias("partition"),
-            F.col("sha256").alias("source_sha256"),
-            F.col("source_path").alias("source_url"),
-            F.lit("application/json").alias("source_media_type"),
-            F.element_at(F.split("source_path", "/"), -1).alias("source_filename"),
-            F.date_format("fetched", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("fetched_at"),
-            F.lit(license_name).alias("license_name"),
-            F.lit(license_url).alias("license_url"),
-            "source_path",
-        )
-        rows = add_provenance(
-            json_list_rows(landed, id_column),
-            F.col("sha256"), F.col("source_row_number"), F.col("fetched"),
-        ).drop("sha256", "fetched")
-        write_bulk_version(described, rows, root, dataset)
+        own = batch.sparkSession
+        named = batch.select(F.col("path"), F.col("modificationTime").alias("fetched")).persist()
+        try:
+            paths = [row.path for row in named.select("path").orderBy("path").collect()]
+            if not paths:
+                return
+            digests = digest_files(named.select("path")).persist()
+            landed = named.join(digests, "path").select(
+                F.col("path").alias("source_path"), F.col("digest").alias("sha256"), "fetched"
+            )
+            described = landed.select(
+                F.col("source_path").alias("seq"),
+                F.lit(dataset).alias("dataset"),
+                F.lit(partition).alias("partition"),
+                F.col("sha256").alias("source_sha256"),
+                F.col("source_path").alias("source_url"),
+                F.lit(_MEDIA_TYPES[file_format]).alias("source_media_type"),
+                F.element_at(F.split("source_path", "/"), -1).alias("source_filename"),
+                F.date_format("fetched", "yyyy-MM-dd'T'HH:mm:ssXXX").alias("fetched_at"),
+                F.lit(license_name).alias("license_name"),
+                F.lit(license_url).alias("license_url"),
+                "source_path",
+            )
+            # Spark spells a file's path with one slash or three, depending on who asks.
+            place = F.regexp_replace("source_path", "^file:/+", "file:/")
+            known = landed.select(place.alias("_place"), F.col("source_path").alias("_path"), "sha256", "fetched")
+            rows = read(own, paths, id_column).withColumn("_place", place).join(F.broadcast(known), "_place")
+            rows = rows.withColumn("source_path", F.col("_path")).drop("_place", "_path")
+            rows = add_provenance(rows, F.col("sha256"), F.col("source_row_number"), F.col("fetched"))
+            write_bulk_version(described, rows.drop("sha256", "fetched"), root, dataset)
+            digests.unpersist()
+        finally:
+            named.unpersist()
 
     return _start(files, each, checkpoint, every)
 
 
 def _daily_log(log: DataFrame, path: str, number: int) -> None:
-    """Append a batch to a log kept by day and batch; a replay replaces its own part."""
-    log.withColumns({"day": F.to_date("ts"), "batch": F.lit(number)}).write.mode("overwrite").option(
+    """Append a batch to a log kept by day, stream and batch; a replay replaces its own part."""
+    part = f"{_stream_id(log.sparkSession)}-{number}"
+    log.withColumns({"day": F.to_date("ts"), "batch": F.lit(part)}).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy("day", "batch").parquet(path)
 
 
+def _registries(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the registries written so far, in order."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(hadoop):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(hadoop)]
+    return sorted(int(name.partition("=")[2]) for name in names if name.startswith("version="))
+
+
 def stream_job_health(
     run_log: DataFrame, log_path: str, health_path: str, checkpoint: str, every: str | None = None
 ) -> StreamingQuery:
     """Append run outcomes to the log and keep the health registry up to date.
 
-    Each batch writes the whole registry, one row per job, under its number.  Jobs
-    whose new runs all follow their last known run are carried forward from the
-    previous registry at the cost of the batch alone; only jobs with late runs
-    are folded again from the log, so late rows and replays count exactly once.
+    Each batch writes the whole registry, one row per job, as the next version; the version before
+    it stays for readers, older ones go.  Jobs whose new runs all follow their last known run are
+    carried forward at the cost of the batch alone; only where jobs have late runs is the log read,
+    and those jobs folded again, so late rows, replays and new checkpoints count every row once.
     """
 
     def each(batch: DataFrame, number: int) -> None:
@@ -180,35 +270,46 @@ def stream_job_health(
             latest = batch.groupBy("job").agg(
                 F.min("seq").alias("first_seq"), F.max("seq").alias("batch_seq")
             )
-            previous = f"{health_path}/batch={number - 1}"
-            if number == 0 or not path_exists(spark, previous):
+            versions = _registries(spark, health_path)
+            if not versions:
                 log = spark.read.parquet(log_path)
-                registry = health_fold(log).join(
-                    log.groupBy("job").agg(F.max("seq").alias("last_seq")), "job"
-                )
+                newest = log.groupBy("job").agg(F.max("seq").alias("last_seq"))
+                registry = join_by_keys(health_fold(log), newest, ["job"])
             else:
-                prior = spark.read.parquet(previous)
-                known = prior.select("job", "last_seq").join(latest, "job", "full")
+                prior = spark.read.parquet(f"{health_path}/version={versions[-1]}")
+                known = join_by_keys(prior.select("job", "last_seq"), latest, ["job"], "full").persist()
                 late = known.where(F.col("first_seq") <= F.col("last_seq")).select("job")
-                redone = health_fold(spark.read.parquet(log_path).join(late, "job", "left_semi"))
-                carried = resume_health(
-                    prior.join(late, "job", "left_anti"),
-                    health_fold(batch.join(late, "job", "left_anti")),
-                )
+                if late.isEmpty():
+                    registry = resume_health(prior, health_fold(batch))
+                else:
+                    log = spark.read.parquet(log_path)
+                    redone = health_fold(join_by_keys(log, late, ["job"], "left_semi"))
+                    carried = resume_health(
+                        join_by_keys(prior, late, ["job"], "left_anti"),
+                        health_fold(join_by_keys(batch, late, ["job"], "left_anti")),
+                    )
+                    registry = carried.unionByName(redone)
                 newest = known.select("job", F.greatest("last_seq", "batch_seq").alias("last_seq"))
-                registry = carried.unionByName(redone).join(newest, "job")
-            registry.write.mode("overwrite").parquet(f"{health_path}/batch={number}")
+                registry = join_by_keys(registry, newest, ["job"])
+            written = versions[-1] + 1 if versions else 0
+            registry.write.mode("overwrite").parquet(f"{health_path}/version={written}")
+            for old in versions[:-1]:
+                _forget(spark, f"{health_path}/version={old}")
         finally:
             batch.unpersist()
 
     return _start(run_log, each, checkpoint, every)
 
 
+def _forget(spark: SparkSession, path: str) -> None:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def current_health(spark: SparkSession, health_path: str) -> DataFrame:
-    """The registry of the newest batch written by ``stream_job_health``."""
-    every = spark.read.parquet(health_path)
-    newest = every.agg(F.max("batch")).scalar()
-    return every.where(F.col("batch") == newest).drop("batch", "last_seq")
+    """The newest registry written by ``stream_job_health``."""
+    newest = _registries(spark, health_path)[-1]
+    return spark.read.parquet(f"{health_path}/version={newest}").drop("last_seq")
 
 
 def stream_quota(
@@ -224,13 +325,18 @@ def stream_quota(
 
     def each(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        _daily_log(batch, log_path, number)
-        days = batch.select(F.to_date("ts").alias("day")).distinct()
-        span = days.agg(F.min("day"), F.max("day")).first()
-        log = spark.read.parquet(log_path).where(F.col("day").between(F.lit(span[0]), F.lit(span[1])))
-        touched = log.join(days, "day", "left_semi").drop("batch", "day")
-        quota_admission(touched, daily_limit).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("day").parquet(admission_path)
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            _daily_log(batch, log_path, number)
+            # Days are a bounded list; each names its folder, so the log of no other day is read.
+            days = [row.day for row in batch.select(F.to_date("ts").alias("day")).distinct().collect()]
+            log = spark.read.parquet(log_path)
+            touched = reduce(Column.__or__, [F.col("day").eqNullSafe(F.lit(d).cast("date")) for d in days], F.lit(False))
+            decided = quota_admission(log.where(touched).drop("batch", "day"), daily_limit)
+            decided.hint("rebalance", "day").write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic"
+            ).partitionBy("day").parquet(admission_path)
+        finally:
+            batch.unpersist()
 
     return _start(requests, each, checkpoint, every)

@@ -357,8 +357,8 @@ def removable(docs: DataFrame, id_col: str, text_col: str, span: int = SPAN, mar
             unpacked(bucket["ids"], counts, np.int64),
         )
         cuts = np.cumsum([0, *counts])
-        packed = [packed(flags[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        return pa.table({"g": bucket["g"], "bucket": bucket["bucket"], "flags": pa.array(packed, pa.binary())})
+        answers = [packed(flags[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return pa.table({"g": bucket["g"], "bucket": bucket["bucket"], "flags": pa.array(answers, pa.binary())})
 
     def hot_windows(docs: pa.Table) -> pa.Table:
         group, g = Group(docs, shared.value, span, mark), docs["g"][0].as_py()

@@ -84,6 +84,17 @@ def write_event_archive_counts(spark, sf):
     return spark.createDataFrame(rows, "received bigint, added bigint, run int")
 
 
+@query("compact_archive", with_views(f"SELECT *, true AS fewer FROM ({_STORED})", "observations"))
+def compact_archive(spark, sf):
+    """An archive written in two runs holds the same rows in fewer files once its partitions are compacted."""
+    root = _filled_archive(spark, sf)
+    before = lake.scan_files(spark, f"{root}/{EVENTS_DATASET}").count()
+    rewritten = ar.compact_archive(spark, root, EVENTS_DATASET, min_files=2)
+    after = lake.scan_files(spark, f"{root}/{EVENTS_DATASET}").count()
+    rows = lake.read_archive(spark, root, EVENTS_DATASET).select(*_STORED_COLUMNS)
+    return rows.withColumn("fewer", F.lit(after < before or rewritten == 0))
+
+
 @query(
     "write_odds_archive",
     with_views(

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -19,6 +19,7 @@ from pyspark.storagelevel import StorageLevel
 from tidelake.operators.merge import add_partition_columns, keep_first
 from tidelake.schemas import (
     EVENT_SNAPSHOT,
+    EVENTS_DATASET,
     MERGE_KEY,
     NATURAL_KEY,
     ODDS_SNAPSHOT,
@@ -152,3 +153,36 @@ def write_odds_archive(
 ) -> WriteResult:
     """Merge odds snapshots into the lake; an empty input writes nothing."""
     return _write(snapshots, root, "sports_odds", ODDS_SNAPSHOT, order, sort_odds)
+
+
+def compact_archive(spark: SparkSession, root: str, dataset: str, min_files: int = 8) -> int:
+    """Write partitions of at least ``min_files`` files anew, in file order; returns how many there were.
+
+    The rows are complete in the scratch folder, and counted, before they replace a partition's files;
+    a run that dies before leaves the archive as it was.  One writer at a time.
+    """
+    path = archive_path(root, dataset)
+    archive = read_archive(spark, root, dataset)
+    files = archive.select(*PARTITION_COLUMNS, F.col("_metadata.file_path").alias("file"))
+    many = files.groupBy(*PARTITION_COLUMNS).agg(F.count_distinct("file").alias("n"), F.count("*").alias("rows"))
+    many = many.where(F.col("n") >= min_files).persist()
+    try:
+        count = many.count()
+        if not count:
+            return 0
+        chosen = archive.where(near_partitions(many)).join(many.select(*PARTITION_COLUMNS), PARTITION_COLUMNS, "left_semi")
+        staged = scratch_path(spark, "compact")
+        _sorted(chosen.hint("rebalance", *PARTITION_COLUMNS), dataset).write.partitionBy(*PARTITION_COLUMNS).option("compression", "zstd").parquet(staged)
+        rows = spark.read.schema(archive.schema).parquet(staged)
+        if rows.count() != many.agg(F.sum("rows")).first()[0]:
+            raise VerificationError(f"{dataset}: staged rows differ from the stored ones")
+        _sorted(rows.hint("rebalance", *PARTITION_COLUMNS), dataset).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy(*PARTITION_COLUMNS).option("compression", "zstd").parquet(path)
+        return count
+    finally:
+        many.unpersist()
+
+
+def _sorted(snapshots: DataFrame, dataset: str) -> DataFrame:
+    return sort_events(snapshots) if dataset == EVENTS_DATASET else sort_odds(snapshots)

@@ -35,6 +35,9 @@ MAX_LABELLED = 20_000
 #: Features that the classifier may weigh, at most.
 MAX_FEATURES = 30_000
 
+#: Log odds of any text where no label was learnt from.
+NO_LABELS = -10.0
+
 _EDGES = ".,;:!?\"'()[]{}<>«»„“”|-–—…*_`"
 _SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!])(?:[ .\-_*](?:[^\W_]|[@$!])){2,}(?![^\s.,;:!?])")
 _THRICE = re.compile(r"([^\W\d_])\1\1")
@@ -220,11 +223,15 @@ def fit_toxicity(
     cluster, the commonest ``max_features`` form sparse rows, and the regression is solved
     over those that are at least twice as common among toxic rows.  Equal texts, and
     families of nearly equal ones, count once, so a group of copies teaches no more than one row.
+
+    * Rows without an id have no fold and are not learnt from; of labels that repeat an id, the
+      largest counts, and null labels none.
+    * Without labels every text scores alike, close to 0.
     """
     rows = texts(docs, id_col, text_col).withColumn("fold", crc_fold(F.col("id"), folds))
     learnt = rows.where(F.col("fold") != 0)
     model = log_model(trigram_counts(learnt))
-    marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where(F.col("y").isNotNull()).dropDuplicates(["id"])
+    marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("y")).where(F.col("y").isNotNull()).groupBy("id").agg(F.max("y").alias("y"))
     order = F.xxhash64("sig", F.lit(11))
     sample = (
         learnt.select("id", "sig").join(marks, "id").groupBy("sig").agg(F.min("id").alias("id"), F.max("y").alias("y"))
@@ -260,43 +267,59 @@ def fit_toxicity(
             arrays = [batch["y"], pa.array(families, pa.int64()), pa.array(xs, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["y", "family", "x"])
 
-    kept = labelled.select("text", F.col("y").cast("int").alias("y")).mapInArrow(sparse, "y int, family bigint, x array<int>")
-    kept = kept.toArrow().sort_by([("family", "ascending"), ("y", "ascending")])
-    families, ys = kept["family"].to_numpy(), kept["y"].to_numpy()
-    first = np.flatnonzero(np.r_[True, (families[1:] != families[:-1]) | (ys[1:] != ys[:-1])][: len(ys)])
-    weights, bias = solve(kept["x"].take(first).to_pylist(), ys[first], len(numbers))
+    found = labelled.select("text", F.col("y").cast("int").alias("y")).mapInArrow(sparse, "y int, family bigint, x array<int>")
+    families = found.groupBy("family", "y").agg(F.min("x").alias("x")).persist()
+    try:
+        useful = useful_features(families, len(numbers))
+
+        def thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                xs = [x[useful[x]] for x in (np.asarray(x or [], np.int64) for x in batch["x"].to_pylist())]
+                yield pa.RecordBatch.from_arrays([batch["y"], batch["family"], pa.array(xs, pa.list_(pa.int32()))], names=["y", "family", "x"])
+
+        kept = families.select("y", "family", "x").mapInArrow(thinned, "y int, family bigint, x array<int>").toArrow()
+    finally:
+        families.unpersist()
+    kept = kept.sort_by([("family", "ascending"), ("y", "ascending")]).combine_chunks()
+    if not kept.num_rows:
+        return ToxicityModel(model, {}, NO_LABELS)
+    x = kept["x"].combine_chunks()
+    row = np.repeat(np.arange(kept.num_rows), np.diff(x.offsets.to_numpy()))
+    weights, bias = solve(x.flatten().to_numpy(), row, kept["y"].to_numpy() == 1, len(numbers))
     names = list(numbers)
     return ToxicityModel(model, {names[i]: float(weights[i]) for i in np.flatnonzero(weights)}, bias)
 
 
-def solve(xs: list[list[int]], ys: np.ndarray, size: int, rounds: int = 300, ridge: float = 0.02):
-    """Weights and bias of a logistic regression over presence features.
+def useful_features(families: DataFrame, size: int) -> np.ndarray:
+    """Whether each feature is at least twice as common among toxic rows; counted on the cluster."""
+    totals = families.agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg")).first()
+    each = families.select("y", F.explode("x").alias("f")).groupBy("f").agg(
+        F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg")
+    ).toArrow()
+    pos, neg = np.zeros(size), np.zeros(size)
+    pos[each["f"].to_numpy()], neg[each["f"].to_numpy()] = each["pos"].to_numpy(), each["neg"].to_numpy()
+    return (pos + 0.5) / (totals["pos"] + 1) >= 2 * (neg + 0.5) / (totals["neg"] + 1)
+
+
+def solve(flat: np.ndarray, row: np.ndarray, toxic: np.ndarray, size: int, rounds: int = 300, ridge: float = 0.02):
+    """Weights and bias of a logistic regression: feature ``flat[i]`` is present in row ``row[i]``.
 
-    Features under twice as common among toxic rows are left at zero; both classes weigh
-    the same in the counts that decide it.
+    Full-batch descent with momentum.  Each weight has its own pace, as the curvature of a
+    feature is at most a quarter of its count.
     """
-    lengths = np.array([len(x) for x in xs], np.int64)
-    flat = np.fromiter((f for x in xs for f in x), np.int64, int(lengths.sum()))
-    row = np.repeat(np.arange(len(xs)), lengths)
-    toxic = ys == 1
-    pos = np.bincount(flat[toxic[row]], minlength=size)
-    neg = np.bincount(flat[~toxic[row]], minlength=size)
-    rate = (pos + 0.5) / (toxic.sum() + 1), (neg + 0.5) / ((~toxic).sum() + 1)
-    useful = rate[0] >= 2 * rate[1]
-    keep = useful[flat]
-    flat, row = flat[keep], row[keep]
+    rows = len(toxic)
+    counts = np.bincount(flat, minlength=size)
     weights, bias = np.zeros(size), float(np.log((toxic.sum() + 0.5) / ((~toxic).sum() + 0.5)))
     step, speed = np.zeros(size), 0.0
-    for _ in range(rounds if len(xs) else 0):
-        margin = np.bincount(row, weights[flat], minlength=len(xs)) + bias
+    for _ in range(rounds):
+        margin = np.bincount(row, weights[flat], minlength=rows) + bias
         slope = 1 / (1 + np.exp(-np.clip(margin, -40, 40))) - toxic
-        gradient = np.bincount(flat, slope[row], minlength=size) + ridge * len(xs) / 1000 * weights
-        # Each weight has its own pace: the curvature of a feature is at most its count / 4.
-        step = 0.8 * step - gradient / (pos + neg + 1) * 0.4
+        gradient = np.bincount(flat, slope[row], minlength=size) + ridge * rows / 1000 * weights
+        step = 0.8 * step - gradient / (counts + 1) * 0.4
         weights = weights + step
         speed = 0.8 * speed - slope.mean()
         bias += speed
-    return weights * useful, bias
+    return weights, bias
 
 
 def toxicity_score(spark: SparkSession, fitted: ToxicityModel) -> Callable[[Column], Column]:

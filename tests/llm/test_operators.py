@@ -244,6 +244,12 @@ def test_obfuscated_words_are_restored(english, written, meant):
     assert meant in english.words(f"you {written} fox")
 
 
+def test_long_tokens_are_decoded_in_pieces(english):
+    token = ",".join(["x" * 30, "1d10t", "y" * 200, "tr@sh"])
+    assert {"idiot", "trash"} <= english.words(token)
+    assert english.words("1" * 100_000) == set() and len(english.words("a1" * 20_000)) < 10
+
+
 def test_viterbi_equals_looking_at_every_path(english):
     import itertools
 

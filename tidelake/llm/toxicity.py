@@ -35,11 +35,14 @@ MAX_LABELLED = 20_000
 #: Features that the classifier may weigh, at most.
 MAX_FEATURES = 30_000
 
+#: A longer token is decoded piece by piece, cut at its separators and at this length.
+LONGEST = 64
 #: Log odds of any text where no label was learnt from.
 NO_LABELS = -10.0
 
 _EDGES = ".,;:!?\"'()[]{}<>«»„“”|-–—…*_`"
 _SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!])(?:[ .\-_*](?:[^\W_]|[@$!])){2,}(?![^\s.,;:!?])")
+_SEPARATED = re.compile(r"[^\w@$!|+]+")
 _THRICE = re.compile(r"([^\W\d_])\1\1")
 
 
@@ -163,9 +166,12 @@ class Restorer:
         for plain in (token, token.strip(_EDGES)):
             if plain.isalpha() and not _THRICE.search(plain):
                 return (plain,)
-        # A token without letters is a number or a rule; one of over 64 signs is data, not a word.
-        if len(token) > 64 or not any(c.isalpha() for c in token):
+        # A token without letters is a number or a rule.
+        if not any(c.isalpha() for c in token):
             return ()
+        if len(token) > LONGEST:
+            parts = (p[at : at + LONGEST] for p in _SEPARATED.split(token) for at in range(0, len(p), LONGEST))
+            return tuple(dict.fromkeys(word for part in parts for word in self.readings(part)))
         return decode(token.strip(BREAKS + "?()[]{}\"«»„“”–—…").rstrip("!" + BREAKS), self.model, self.table)
 
     def words(self, text: str) -> set[str]:

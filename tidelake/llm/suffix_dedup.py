@@ -214,9 +214,9 @@ class Group:
         owner = self.ids[self.doc[self.order]]
         self.class_id = np.minimum.reduceat(owner, first) if len(first) else np.zeros(0, np.int64)
 
-    def buckets(self, count: int) -> np.ndarray:
-        """Bucket of each class, by its minimizer alone."""
-        return ((self.class_mark * _U(0xD6E8FEB86659FD93)) >> _U(33)).astype(np.int64) % count
+    def buckets(self, count: int) -> dict[int, np.ndarray]:
+        """Numbers of the classes of each bucket, in their order.  A class's minimizer alone decides its bucket."""
+        return dealt_by(((self.class_mark * _U(0xD6E8FEB86659FD93)) >> _U(33)).astype(np.int64) % count)
 
     def hot_windows(self, span: int) -> Iterator[tuple[int, int, bytes]]:
         """(document, start, bytes) of every window under a hot minimizer."""
@@ -227,6 +227,13 @@ class Group:
                 yield doc, begin + at, raw[at : at + span]
 
 
+def dealt_by(numbers: np.ndarray) -> dict[int, np.ndarray]:
+    """Positions of each number, ascending."""
+    order = np.argsort(numbers, kind="stable")
+    values, starts = np.unique(numbers[order], return_index=True)
+    return dict(zip(values.tolist(), np.split(order, starts[1:]), strict=True)) if len(numbers) else {}
+
+
 def hot_marks(docs: DataFrame, total: int, span: int, mark: int) -> np.ndarray:
     """Minimizers that start many different runs all over the corpus.
 
@@ -334,12 +341,8 @@ def removable(docs: DataFrame, id_col: str, text_col: str, span: int = SPAN, mar
 
     def entries(docs: pa.Table) -> pa.Table:
         group, g = Group(docs, shared.value, span, mark), docs["g"][0].as_py()
-        of = group.buckets(count)
-        order = np.argsort(of, kind="stable")
-        cuts = np.searchsorted(of[order], np.arange(count + 1))
         out = {name: [] for name in ("bucket", "g", "n", "marks", "bodies", "ids")}
-        for bucket in np.flatnonzero(np.diff(cuts)):
-            mine = order[cuts[bucket] : cuts[bucket + 1]]
+        for bucket, mine in group.buckets(count).items():
             values = (bucket, g, len(mine), packed(group.class_mark[mine]), packed(group.class_body[mine]), packed(group.class_id[mine]))
             for name, value in zip(out, values, strict=True):
                 out[name].append(value)
@@ -387,11 +390,11 @@ def removable(docs: DataFrame, id_col: str, text_col: str, span: int = SPAN, mar
             return piece_schema.empty_table()
         group = Group(docs, shared.value, span, mark)
         of = group.buckets(count)
-        flags = np.zeros(len(of), np.uint8)
+        flags = np.zeros(len(group.class_mark), np.uint8)
         first: dict[bytes, int] = {}
         for answer in answers.to_pylist():
             if answer["flags"] is not None:
-                mine = np.flatnonzero(of == answer["bucket"])
+                mine = of[answer["bucket"]]
                 flags[mine] = np.frombuffer(pa.decompress(answer["flags"], decompressed_size=len(mine), codec="zstd", asbytes=True), np.uint8)
             else:
                 first[answer["window"]] = answer["first"]

@@ -71,15 +71,14 @@ def near_partitions(parts: DataFrame, most: int = MOST_RANGES) -> Column:
     cuts: dict[tuple[str, str], list] = {}
     for row in gaps.orderBy(gap.desc(), *keys, "event_date").limit(most).collect():
         cuts.setdefault((row.source_slug, row.sport_slug), []).append((row.before, row.event_date))
-    near = F.lit(False)
+    near = []
     for span in spans:
         here = sorted(cuts.get((span.source_slug, span.sport_slug), []))
         starts, ends = [span.first, *(c[1] for c in here)], [*(c[0] for c in here), span.last]
-        days = F.lit(False)
-        for start, end in zip(starts, ends, strict=True):
-            days = days | F.col("event_date").between(F.lit(start), F.lit(end))
-        near = near | ((F.col("source_slug") == span.source_slug) & (F.col("sport_slug") == span.sport_slug) & days)
-    return near
+        days = " OR ".join(f"event_date BETWEEN DATE'{a}' AND DATE'{b}'" for a, b in zip(starts, ends, strict=True))
+        # Slugs hold letters, digits and dashes only.
+        near.append(f"(source_slug = '{span.source_slug}' AND sport_slug = '{span.sport_slug}' AND ({days}))")
+    return F.expr(" OR ".join(near) or "false")
 
 
 def _write(

@@ -82,12 +82,14 @@ def sync_outcomes(
     back equal.  ``limit`` (off by default) refuses larger files, for stores that
     take objects up to some size only.
     """
-    checked = verify_mirror(inventory, held_after).select("key", "problem", F.lit(True).alias("read"))
-    files = mirror_presence(inventory, held_before).join(checked, "key", "left")
+    files = mirror_presence(inventory, held_before)
+    if not dry_run:
+        # A plan reads nothing back.
+        checked = verify_mirror(inventory, held_after).select("key", "problem", F.lit(True).alias("read"))
+        files = files.join(checked, "key", "left")
     size, present = F.col("size"), F.col("present")
     wanted = prunable(inventory) if prune else F.lit(False)
     trusted = present & ~wanted
-    problem = F.coalesce(F.col("problem"), F.when(F.col("read").isNull(), "no copy in the mirror"))
     too_large = F.lit(False) if limit is None else size > limit
     oversize = F.concat(size.cast("string"), F.lit(f" bytes, over the limit of {limit}"))
     if dry_run:
@@ -95,6 +97,7 @@ def sync_outcomes(
         note = F.when(present, "present").otherwise("absent")
         freed = F.when(wanted, size).otherwise(0)
     else:
+        problem = F.coalesce(F.col("problem"), F.when(F.col("read").isNull(), "no copy in the mirror"))
         action = F.when(problem.isNotNull(), "failed").when(wanted, "pruned").otherwise("uploaded")
         note = (
             F.when(problem.isNotNull(), problem)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 CAPACITIES = (256, 512, 1024, 2048, 4096)
 #: Tokens that one packing task receives on average; the tail bins of a task are its only waste.
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS = 500_000
 #: What a sequence costs besides its tokens, and the length at which attention doubles a token's cost.
 SEQUENCE_COST, ATTENTION_LENGTH = 64, 16_384
 

@@ -433,3 +433,14 @@ def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(Fake())
+
+
+def test_writes_feed_the_ingest_summary(spark, tmp_path):
+    from tidelake.operators.ingest import ingest_rows, ingest_summary, touched_partitions
+
+    first = ar.write_event_archive(snapshots(spark, event(), event(), event(number=2)), str(tmp_path))
+    second = ar.write_event_archive(snapshots(spark, event(), event(number=3, day="2026-07-11")), str(tmp_path))
+    rows = [ingest_rows(w.touched, EVENTS_DATASET, F.lit(f"2026-07-1{k}").cast("date")) for k, w in enumerate((first, second))]
+    total = ingest_summary(rows[0].unionByName(rows[1])).first()
+    assert (total.days, total.snapshots_fetched, total.snapshots_added, total.partitions) == (2, 4, 3, 2)
+    assert touched_partitions(*rows).count() == 2 and (first.received, second.received) == (3, 2)

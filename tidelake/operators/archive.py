@@ -35,7 +35,8 @@ class VerificationError(RuntimeError):
 
 @dataclass(frozen=True)
 class WriteResult:
-    """What a write did; ``touched`` has a row (partition columns, fetched, added) for each partition it fell on."""
+    """What a write did; ``touched`` has a row for each partition it fell on: the partition columns,
+    ``arrived`` (different snapshots) and ``added`` (those not stored before)."""
 
     received: int
     added: int
@@ -106,7 +107,7 @@ def _write(
             delta = first.join(stored, MERGE_KEY, "left_anti")
         counts = new.groupBy(*PARTITION_COLUMNS).agg(F.count("*").alias("added"))
         touched = parts.join(counts, PARTITION_COLUMNS, "left").select(
-            *PARTITION_COLUMNS, F.col("_first").alias("fetched"), F.coalesce("added", F.lit(0)).cast("bigint").alias("added")
+            *PARTITION_COLUMNS, F.col("_first").alias("arrived"), F.coalesce("added", F.lit(0)).cast("bigint").alias("added")
         )
         noted = scratch_path(spark, "touched")
         touched.write.parquet(noted)

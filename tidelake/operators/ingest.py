@@ -4,9 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidelake.operators.catalog import partition_key
+
+
+def ingest_rows(touched: DataFrame, dataset: str, day: Column) -> DataFrame:
+    """What a write touched, as rows of ``ingest_summary``: day, partition, fetched, added."""
+    return touched.select(
+        day.alias("day"), partition_key(dataset).alias("partition"), F.col("arrived").alias("fetched"), "added"
+    )
+
 
 def ingest_summary(writes: DataFrame) -> DataFrame:
     """One row: days, snapshots fetched and added, partitions touched.

@@ -44,8 +44,10 @@ def dropped_lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -
         .select("id", "sig", "pos", "key.a", "key.b")
     )
     spread = keyed.groupBy("a", "b").agg(F.min("id").alias("first"), F.max("id").alias("last"))
-    shared = spread.where(F.col("first") < F.col("last")).select("a", "b", "first")
-    late = keyed.join(shared, ["a", "b"]).where(F.col("id") > F.col("first"))
+    # Joined by the pair as one value, the fold and the join are dealt apart: adaptive execution
+    # splits a join's partitions only where both sides come straight from a shuffle.
+    shared = spread.where(F.col("first") < F.col("last")).select(F.struct("a", "b").alias("key"), "first")
+    late = keyed.withColumn("key", F.struct("a", "b")).join(shared, "key").where(F.col("id") > F.col("first"))
     return late.groupBy("id", "sig").agg(F.sort_array(F.collect_set("pos")).alias("dropped"))
 
 

@@ -236,7 +236,7 @@ def english():
 
 @pytest.mark.parametrize(
     "written, meant",
-    [("1d10t", "idiot"), ("st00pid", "stupid"), ("l0ser", "loser"), ("stuuuupid", "stupid"), ("m.o.r.o.n", "moron"), ("tr@sh", "trash"), ("c l o w n", "clown"), ("W0RTHLE55", "worthless"), ("(1d!0t)!!", "idiot")],
+    [("1d10t", "idiot"), ("st00pid", "stupid"), ("l0ser", "loser"), ("stuuuupid", "stupid"), ("m.o.r.o.n", "moron"), ("tr@sh", "trash"), ("c l o w n", "clown"), ("W0RTHLE55", "worthless"), ("st*pid", "stupid"), ("m#ron", "moron"), ("l_o_s_e_r", "loser"), ("(1d!0t)!!", "idiot")],
 )
 def test_obfuscated_words_are_restored(english, written, meant):
     if meant == "stupid" and "00" in written:

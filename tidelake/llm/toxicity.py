@@ -24,12 +24,16 @@ SIGNS = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "(": "c", "<": "c",
 }
 BREAKS = "*._-~'\"`^,:;/\\=#"
+#: Signs that may also stand in for any letter, where letters surround them.
+MASKS = "*#%?_"
 
 SYMBOLS = len(ALPHABET) + 2
 #: Natural logs of the channel: a sign for a letter, a letter written more than twice, a break inside a word.
 SIGN_COST, REPEAT_COST, BREAK_COST = -1.0, -0.7, -0.7
 #: A sign that stands for nothing.
 DROP_COST = -9.0
+#: A masked letter, whichever it is.
+MASK_COST = -2.0
 #: Labelled rows that the classifier is fitted on, at most: those of least hash.
 MAX_LABELLED = 20_000
 #: Features that the classifier may weigh, at most.
@@ -109,13 +113,18 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
         if c.isalpha():
             if run > 2:
                 columns.append([(c, REPEAT_COST), (c * 2, REPEAT_COST), (c * run, 0.0)])
+            elif run == 2:
+                columns.append([(c * 2, 0.0), (c, 2 * REPEAT_COST)])
             else:
-                columns.append([(c * run, 0.0)])
+                columns.append([(c, 0.0)])
         elif c in SIGNS:
             readings = [(letter * count, SIGN_COST * count) for letter in SIGNS[c] for count in {1, min(run, 2)}]
             columns.append(readings + [("", DROP_COST)])
-        elif c in BREAKS or c == " ":
-            columns.append([("", BREAK_COST)])
+        elif c in BREAKS or c == " " or c in MASKS:
+            readings = [("", BREAK_COST if c in BREAKS else DROP_COST)]
+            if c in MASKS and run == 1 and 0 < at < len(token) - 1:
+                readings += [(letter, MASK_COST) for letter in ALPHABET[:26]]
+            columns.append(readings)
         else:
             columns.append([("", DROP_COST)])
         at = end
@@ -172,7 +181,8 @@ class Restorer:
         if len(token) > LONGEST:
             parts = (p[at : at + LONGEST] for p in _SEPARATED.split(token) for at in range(0, len(p), LONGEST))
             return tuple(dict.fromkeys(word for part in parts for word in self.readings(part)))
-        return decode(token.strip(BREAKS + "?()[]{}\"«»„“”–—…").rstrip("!" + BREAKS), self.model, self.table)
+        most = 8 if any(c in MASKS for c in token[1:-1]) else 3
+        return decode(token.strip(BREAKS + "?()[]{}\"«»„“”–—…").rstrip("!" + BREAKS), self.model, self.table, most)
 
     def words(self, text: str) -> set[str]:
         """Distinct restored words of a whole text, spelt-out words joined."""

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from tidelake.session import scratch_path
 
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -36,11 +39,20 @@ def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows, written once below the shared folder and read back.
 
-    Cuts the lineage and saves a second evaluation; an executor lost later costs nothing.
+    Cuts the lineage and saves a second evaluation; an executor lost later costs nothing.  The shuffle
+    files of the write go with its end, not when the driver happens to collect garbage.
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN_UP, None)
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEAN_UP)
+        else:
+            spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

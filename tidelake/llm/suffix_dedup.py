@@ -25,6 +25,8 @@ MARK = 16
 GROUP_BYTES, RUN_WINDOWS = 8_000_000, 64
 #: A minimizer is hot if it starts this many different runs in every eighth batch of GROUP_BYTES.
 HOT_RUNS, HOT_SHARE = 64, 8
+#: Runs that a bucket of minimizers holds on average.
+BUCKET_RUNS = 100_000
 CHUNK = 1 << 20
 
 _U = np.uint64
@@ -171,11 +173,18 @@ def repeated_windows(data: np.ndarray, starts: np.ndarray, ids: np.ndarray, span
     sums = prefix_hashes(data)
     prints = hashes_of(sums, starts, span)
     order = np.argsort(prints)
-    firsts = np.flatnonzero(np.r_[True, prints[order][1:] != prints[order][:-1]])
+    prints = prints[order]
+    same = prints[1:] == prints[:-1]
+    order = order[np.r_[False, same] | np.r_[same, False]]
+    late = np.zeros(len(starts), bool)
+    if not len(order):
+        return late
+    prints = hashes_of(sums, starts[order], span)
+    firsts = np.flatnonzero(np.r_[True, prints[1:] != prints[:-1]])
     sizes = np.diff(np.append(firsts, len(order)))
-    low, high = np.minimum.reduceat(ids[order], firsts), np.maximum.reduceat(ids[order], firsts)
+    held = ids[order]
+    low, high = np.minimum.reduceat(held, firsts), np.maximum.reduceat(held, firsts)
     chosen = order[np.repeat(low < high, sizes)]
-    late = np.zeros(len(starts), bool)
     if not len(chosen):
         return late
     chosen = chosen[suffix_order(data, sums, starts[chosen], span)]
@@ -193,7 +202,7 @@ def repeated_windows(data: np.ndarray, starts: np.ndarray, ids: np.ndarray, span
 
 
 class Group:
-    """The runs of a group of documents, and its classes of equal runs in order of (minimizer, body)."""
+    """The runs of a group of documents, and its classes of equal runs in an order that follows from their hashes alone."""
 
     def __init__(self, docs: pa.Table, hot: np.ndarray, span: int, mark: int):
         docs = docs.sort_by([("id", "ascending"), ("sig", "ascending")])
@@ -206,11 +215,13 @@ class Group:
         self.start, self.windows, self.mark, self.body = joined
         self.is_hot = np.isin(self.mark, hot) if len(hot) else np.zeros(len(self.mark), bool)
         cold = np.flatnonzero(~self.is_hot)
-        self.order = cold[np.lexsort((self.body[cold], self.mark[cold]))]
-        m, b = self.mark[self.order], self.body[self.order]
-        first = np.flatnonzero(np.r_[True, (m[1:] != m[:-1]) | (b[1:] != b[:-1])]) if len(m) else np.zeros(0, np.int64)
-        self.sizes = np.diff(np.append(first, len(m)))
-        self.class_mark, self.class_body = m[first], b[first]
+        # Both hashes in one number: one sort instead of two.
+        both = self.body[cold] ^ (self.mark[cold] * _U(0x9FB21C651E98DF25))
+        order = np.argsort(both)
+        self.order, both = cold[order], both[order]
+        first = np.flatnonzero(np.r_[True, both[1:] != both[:-1]]) if len(both) else np.zeros(0, np.int64)
+        self.sizes = np.diff(np.append(first, len(both)))
+        self.class_mark, self.class_body = self.mark[self.order[first]], self.body[self.order[first]]
         owner = self.ids[self.doc[self.order]]
         self.class_id = np.minimum.reduceat(owner, first) if len(first) else np.zeros(0, np.int64)
 
@@ -249,7 +260,9 @@ def hot_marks(docs: DataFrame, total: int, span: int, mark: int) -> np.ndarray:
 
         def flush() -> pa.RecordBatch:
             m, b = np.concatenate(marks), np.concatenate(bodies)
-            values, counts = np.unique(_distinct(m, b), return_counts=True)
+            values, counts = np.unique(m, return_counts=True)
+            often = np.isin(m, values[counts >= HOT_RUNS])
+            values, counts = np.unique(_distinct(m[often], b[often]), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(values[counts >= HOT_RUNS].view(np.int64))], names=["mark"])
 
         for batch in batches:
@@ -295,7 +308,14 @@ SAME, APART, SHIP = 1, 0, 2
 def verdicts(marks: np.ndarray, bodies: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """For each class of a group: SAME if an earlier document elsewhere holds the same run, SHIP if
     it is first of its kind but its minimizer also stands in other documents, else APART."""
-    order = np.lexsort((ids, bodies, marks))
+    out = np.zeros(len(marks), np.uint8)
+    order = np.argsort(marks)
+    same = marks[order[1:]] == marks[order[:-1]]
+    # Most minimizers stand in one class only; the others are sorted in full.
+    order = order[np.r_[False, same] | np.r_[same, False]]
+    if not len(order):
+        return out
+    order = order[np.lexsort((ids[order], bodies[order], marks[order]))]
     m, b, i = marks[order], bodies[order], ids[order]
     new_mark = np.r_[True, m[1:] != m[:-1]]
     new_class = new_mark | np.r_[True, b[1:] != b[:-1]]
@@ -305,7 +325,6 @@ def verdicts(marks: np.ndarray, bodies: np.ndarray, ids: np.ndarray) -> np.ndarr
     starts = np.flatnonzero(np.r_[True, of_mark[1:] != of_mark[:-1]])
     low, high = np.minimum.reduceat(first, starts), np.maximum.reduceat(first, starts)
     shared = (low < high)[of_mark]
-    out = np.zeros(len(marks), np.uint8)
     out[order] = np.where(i > first[number], SAME, np.where(shared[number], SHIP, APART))
     return out
 
@@ -334,7 +353,7 @@ def removable(docs: DataFrame, id_col: str, text_col: str, span: int = SPAN, mar
     rows = rows.where(F.octet_length("data") >= span)
     total = rows.agg(F.sum(F.octet_length("data"))).first()[0] or 0
     groups = max(1, -(-total // GROUP_BYTES))
-    count = max(1, round(total * 2 / (span - mark + 2) / 400_000))
+    count = max(1, round(total * 2 / (span - mark + 2) / BUCKET_RUNS))
     hot = hot_marks(rows, total, span, mark)
     shared = rows.sparkSession.sparkContext.broadcast(hot)
     dealt = rows.withColumn("g", F.pmod(F.xxhash64("id"), F.lit(groups)).cast("int"))

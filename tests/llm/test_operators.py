@@ -417,6 +417,31 @@ def test_a_hot_bucket_is_dealt_over_cells(spark, monkeypatch, rows, crowd):
     assert hits >= 0.9 * 30 * 20
 
 
+def recall(spark, x):
+    """Share of the true neighbours found, of all queries."""
+    x = x.astype(np.float32)
+    found = {}
+    for r in ann.nearest(vectors(spark, [(i, row.tolist()) for i, row in enumerate(x)])).collect():
+        found.setdefault(r.query_id, set()).add(r.id)
+    hits, asked = 0, range(0, len(x), 20)
+    for query in asked:
+        scores = x.astype(float) @ x[query].astype(float)
+        scores[query] = -np.inf
+        hits += len(found[query] & set(np.argsort(-scores)[:20].tolist()))
+    return hits / (20 * len(asked))
+
+
+def test_recall_where_norms_differ(spark):
+    random_ = np.random.default_rng(6)
+    x = random_.normal(size=(6_000, 32))
+    assert recall(spark, x / np.linalg.norm(x, axis=1, keepdims=True) * random_.lognormal(0, 0.5, (6_000, 1))) >= 0.93
+
+
+def test_all_rows_are_looked_at_where_probes_miss_the_target(spark, monkeypatch):
+    monkeypatch.setattr(ann, "MOST_PROBES", 1)
+    assert recall(spark, np.random.default_rng(7).normal(size=(3_000, 16))) == 1
+
+
 def test_probes_come_in_order_of_their_distance():
     random_ = np.random.default_rng(4)
     for n in (1, 2, 3):

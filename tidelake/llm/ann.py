@@ -27,9 +27,12 @@ MOST_PROBES = 20_000
 
 @dataclass
 class Index:
-    """Hash functions of all tables: floor((a . x + b) / w), and how many buckets a query visits."""
+    """Hash functions of all tables of one range of norms: floor((a . x + b) / w), and how many buckets a query visits.
 
-    norm: float  # the largest norm of any row
+    Without functions its one table has a single bucket, so that a query meets every row.
+    """
+
+    norm: float  # the largest norm of the range's rows
     a: np.ndarray  # tables x functions x (dimensions + 1)
     b: np.ndarray  # tables x functions
     w: np.ndarray
@@ -48,6 +51,17 @@ class Index:
         return (lifted @ self.a[table].T + self.b[table]) / self.w[table]
 
 
+def ranges_of(x: np.ndarray, ranges: list[Index]) -> np.ndarray:
+    """The number of each row's range; they come in falling order of their norms."""
+    norms = np.array([-own.norm for own in ranges])
+    return np.maximum(np.searchsorted(norms, -np.linalg.norm(x, axis=1), side="right") - 1, 0)
+
+
+def first_tables(ranges: list[Index]) -> list[int]:
+    """The number that each range's first table has among the tables of all."""
+    return np.cumsum([0, *(len(own.a) for own in ranges[:-1])]).tolist()
+
+
 def codes(cells: np.ndarray) -> np.ndarray:
     """One long for each row of whole numbers; a table of no functions has a single bucket."""
     out = np.zeros(len(cells), np.int64)
@@ -142,48 +156,73 @@ def exact_neighbours(vectors: DataFrame, ids: np.ndarray, queries: np.ndarray, k
     return found.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k).drop("_r")
 
 
-def fit_index(vectors: DataFrame, is_query: Column, k: int, tables: int = TABLES, target: float = TARGET_RECALL, seed: int = 5) -> Index | None:
-    """Hash functions for the rows, and the number of probes that reaches the target.
+def fit_index(
+    vectors: DataFrame, is_query: Column, k: int, tables: int = TABLES, target: float = TARGET_RECALL, seed: int = 5
+) -> list[Index]:
+    """Hash functions for the rows, and the number of probes that reaches the target, for each range of norms.
 
-    One function for every fourfold of the rows beyond 64 keeps buckets of a steady size.  Widths
-    come from ``FIT_ROWS`` rows; probes from the true neighbours of ``FIT_QUERIES`` queries: the
-    rank of a neighbour's bucket in its query's order tells how many probes find it.
+    A range holds norms within a factor of the square root of two and has a scale of its own, so that
+    no row lies far from all queries just for being short.  One function for every fourfold of a
+    range's rows beyond 64 keeps buckets of a steady size.  Widths come from ``FIT_ROWS`` rows,
+    even over the ranges; probes from the true neighbours of ``FIT_QUERIES`` queries: the rank of a
+    neighbour's bucket in its query's order tells how many probes find it.  A range where
+    ``MOST_PROBES`` miss the target has no functions: its rows are all looked at.
     """
-    stats = vectors.agg(
-        F.count("*").alias("n"),
-        F.max(F.aggregate("v", F.lit(0.0), lambda t, x: t + x * x)).alias("norm"),
-    ).first()
-    if not stats["n"]:
-        return None
-    by_hash = vectors.orderBy(F.xxhash64("id", F.lit(seed)), "id")
-    sample = _matrix(by_hash.select("v").limit(FIT_ROWS).toArrow()["v"].combine_chunks())
-    functions = max(0, round(np.log(stats["n"] / 64) / np.log(4)))
+    square = F.greatest(F.aggregate("v", F.lit(0.0), lambda t, x: t + x * x), F.lit(1e-300))
+    largest = vectors.agg(F.max(square)).first()[0]
+    if largest is None:
+        return []
+    band = F.floor(F.log2(F.lit(largest) / square)).cast("int")
+    stats = vectors.groupBy(band.alias("band")).agg(F.count("*").alias("n"), F.max(square).alias("norm")).orderBy("band").collect()
+    # Uniform by hash times the rows of the range: the least come evenly from all ranges.
+    sizes = F.element_at(F.create_map(*[F.lit(x) for row in stats for x in (row["band"], float(row["n"]))]), band)
+    draw = (F.xxhash64("id", F.lit(seed)).cast("double") + 2.0**63) * sizes
+    sample = _matrix(vectors.orderBy(draw, "id").select("v").limit(FIT_ROWS).toArrow()["v"].combine_chunks())
     random = np.random.default_rng(seed)
-    a = random.normal(size=(tables, functions, sample.shape[1] + 1))
-    index = Index(float(np.sqrt(stats["norm"])), a, np.zeros((tables, functions)), np.ones((tables, functions)))
-    lifted = index.lifted(sample, query=False)
-    spread = np.einsum("tfd,nd->tfn", a, lifted).std(axis=2)
-    index.w = np.where(spread > 0, WIDTH * spread, 1.0)
-    index.b = random.uniform(0, 1, (tables, functions)) * index.w
-    asked = by_hash.where(is_query).limit(FIT_QUERIES).toArrow()
-    if not functions or not asked.num_rows:
-        return index
+    ranges = []
+    for row in stats:
+        functions = max(0, round(np.log(row["n"] / 64) / np.log(4)))
+        held = tables if functions else 1
+        a = random.normal(size=(held, functions, sample.shape[1] + 1))
+        ranges.append(Index(float(np.sqrt(row["norm"])), a, np.zeros((held, functions)), np.ones((held, functions))))
+    of = ranges_of(sample, ranges)
+    for number, own in enumerate(ranges):
+        mine = sample[of == number]
+        if own.a.shape[1] and len(mine):
+            spread = np.einsum("tfd,nd->tfn", own.a, own.lifted(mine, query=False)).std(axis=2)
+            own.w = np.where(spread > 0, WIDTH * spread, 1.0)
+        own.b = random.uniform(0, 1, own.w.shape) * own.w
+    asked = vectors.where(is_query).orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(FIT_QUERIES).toArrow()
+    if not any(own.a.shape[1] for own in ranges) or not asked.num_rows:
+        return ranges
     ids, queries = asked["id"].to_numpy(), _matrix(asked["v"].combine_chunks())
     true = exact_neighbours(vectors, ids, queries, k).toArrow()
     row_of = {int(q): i for i, q in enumerate(ids)}
     owner = np.array([row_of[int(q)] for q in true["query"].to_numpy()], np.int64)
-    near = index.lifted(_matrix(true["v"].combine_chunks()), query=False) if true.num_rows else np.zeros((0, a.shape[2]))
-    up = index.lifted(queries, query=True)
-    rank = np.full(len(owner), MOST_PROBES)
-    for t in range(tables):
-        homes = codes(np.floor(index.places(near, t)).astype(np.int64))
-        for i, place in enumerate(index.places(up, t)):
-            order = {int(c): r for r, c in reversed(list(enumerate(codes(probe_order(place, MOST_PROBES)))))}
-            for j in np.flatnonzero(owner == i):
-                rank[j] = min(rank[j], order.get(int(homes[j]), MOST_PROBES))
-    reach = np.sort(rank)
-    index.probes = int(min(MOST_PROBES, reach[min(len(reach) - 1, int(np.ceil(target * len(reach))))] + 1)) if len(reach) else 1
-    return index
+    near = _matrix(true["v"].combine_chunks()) if true.num_rows else np.zeros((0, sample.shape[1]))
+    of = ranges_of(near, ranges)
+    for number, own in enumerate(ranges):
+        here = of == number
+        if not own.a.shape[1] or not here.any():
+            continue
+        lifted, up, owners = own.lifted(near[here], query=False), own.lifted(queries, query=True), owner[here]
+        rank = np.full(len(owners), MOST_PROBES)
+        for t in range(len(own.a)):
+            homes = codes(np.floor(own.places(lifted, t)).astype(np.int64))
+            places = own.places(up, t)
+            for i in np.unique(owners):
+                order = {int(c): r for r, c in reversed(list(enumerate(codes(probe_order(places[i], MOST_PROBES)))))}
+                for j in np.flatnonzero(owners == i):
+                    rank[j] = min(rank[j], order.get(int(homes[j]), MOST_PROBES))
+        reach = np.sort(rank)
+        needed = int(reach[min(len(reach) - 1, int(np.ceil(target * len(reach))))])
+        if needed < MOST_PROBES:
+            own.probes = needed + 1
+        elif (rank < MOST_PROBES).mean() >= target:
+            own.probes = MOST_PROBES
+        else:
+            ranges[number] = Index(own.norm, own.a[:1, :0], own.b[:1, :0], own.w[:1, :0])
+    return ranges
 
 
 def nearest(
@@ -198,7 +237,8 @@ def nearest(
     """(query_id, rank, id, score): the k rows of largest inner product found for every query.
 
     Queries are the rows whose id is divisible by ``every``, candidates all rows but the query's
-    own.  Every row is hashed into each table; a query visits buckets in order of estimated success.
+    own.  Every row is hashed into each table of its range of norms; a query visits buckets of every
+    range in order of estimated success, or all of a range where that misses the target.
     Rows and visits meet by bucket: small buckets share cells of bounded size, a bucket above that
     size is dealt over several cells and its visits go to all of them, and many queries to a cell
     are dealt over several copies of it.  A cell scores its own visited buckets exactly and
@@ -213,36 +253,45 @@ def nearest(
     """
     vectors = usable(rows, id_col, vector_col)
     is_query = F.col("id") % every == 0
-    index = fit_index(vectors, is_query, k, tables, target)
+    ranges = fit_index(vectors, is_query, k, tables, target)
     result = "query_id bigint, rank int, id bigint, score double"
-    if index is None:
+    if not ranges:
         return rows.sparkSession.createDataFrame([], result)
     spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast((index.norm, index.a, index.b, index.w, index.probes))
+    firsts = first_tables(ranges)
+    shared = spark.sparkContext.broadcast([(own.norm, own.a, own.b, own.w, own.probes) for own in ranges])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Index(*shared.value)
+        held = [Index(*values) for values in shared.value]
         for batch in batches:
             if not batch.num_rows:
                 continue
-            up = own.lifted(_matrix(batch["v"]), query=False)
-            for t in range(tables):
-                bucket = codes(np.floor(own.places(up, t)).astype(np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(up), t, np.int32)), pa.array(bucket), batch["id"], batch["v"]], names=["t", "bucket", "id", "v"]
-                )
+            x = _matrix(batch["v"])
+            of = ranges_of(x, held)
+            for number in np.unique(of):
+                own, mine = held[number], np.flatnonzero(of == number)
+                up, part = own.lifted(x[mine], query=False), batch.take(pa.array(mine))
+                for t in range(len(own.a)):
+                    bucket = codes(np.floor(own.places(up, t)).astype(np.int64))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(up), firsts[number] + t, np.int32)), pa.array(bucket), part["id"], part["v"]],
+                        names=["t", "bucket", "id", "v"],
+                    )
 
     def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Index(*shared.value)
+        held = [Index(*values) for values in shared.value]
         for batch in batches:
             if not batch.num_rows:
                 continue
-            up = own.lifted(_matrix(batch["v"]), query=True)
-            for t in range(tables):
-                visits = [np.unique(codes(probe_order(place, own.probes))) for place in own.places(up, t)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(up), t, np.int32)), batch["id"], pa.array(visits, pa.list_(pa.int64()))], names=["t", "query", "buckets"]
-                )
+            x = _matrix(batch["v"])
+            for own, first in zip(held, firsts, strict=True):
+                up = own.lifted(x, query=True)
+                for t in range(len(own.a)):
+                    visits = [np.unique(codes(probe_order(place, own.probes))) for place in own.places(up, t)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(up), first + t, np.int32)), batch["id"], pa.array(visits, pa.list_(pa.int64()))],
+                        names=["t", "query", "buckets"],
+                    )
 
     filed = vectors.mapInArrow(hashed, "t int, bucket bigint, id bigint, v array<double>")
     sizes = filed.groupBy("t", "bucket").agg(F.count("*").alias("n"))
@@ -314,7 +363,8 @@ def nearest(
     short = queries.select(F.col("id").alias("query")).distinct().join(counts, "query", "left")
     short = written(short.where(F.coalesce("n", F.lit(0)) < min(k, others)).select("query"), "short")
     if others > 0 and not short.isEmpty():
-        whole = short.withColumn("t", F.lit(0)).join(layout.where("t = 0").select("t", "bucket"), "t")
+        # The first table of every range: together they hold each row once.
+        whole = short.withColumn("t", F.explode(F.array(*map(F.lit, firsts)))).join(layout.select("t", "bucket"), "t")
         again = search(whole.select("t", "query", "bucket"))
         found = found.join(short, "query", "left_anti").unionByName(again)
     return found.select(F.col("query").alias("query_id"), F.col("rank").cast("int").alias("rank"), "id", "score")

@@ -250,6 +250,20 @@ def test_long_tokens_are_decoded_in_pieces(english):
     assert english.words("1" * 100_000) == set() and len(english.words("a1" * 20_000)) < 10
 
 
+def test_spelt_out_words_are_parted(english):
+    words = "you are stupid you are an idiot and worthless trash you clown loser and moron".split()
+    for said in (words[:3], words, words * 40):
+        for gap in " .-":
+            assert {"stupid", "you", "are", said[-1]} <= english.words(f"fox {gap.join(''.join(said))} dog"), (said, gap)
+    assert {"idiot", "worthless", "clown"} <= english.words(" ".join("fox" * 50 + "".join(words) + "dog" * 50))
+
+
+def test_words_wholly_in_signs_are_decoded(english):
+    assert "idiot" in english.words("you 1#!0+ fox") and "ass" in english.words("@$$") and english.words("5#17") and english.words("$#!7")
+    for number in ("1", "$100", "50%", "(12)", "+49", "1,000.50", "10:30", "12/05/2020", "#7", "5€", "***", "$$$", "!!!", "----", "100!"):
+        assert english.words(number) == set(), number
+
+
 def test_viterbi_equals_looking_at_every_path(english):
     import itertools
 

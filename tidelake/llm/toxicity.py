@@ -39,7 +39,8 @@ MAX_LABELLED = 20_000
 #: Features that the classifier may weigh, at most.
 MAX_FEATURES = 30_000
 
-#: A longer token is decoded piece by piece, cut at its separators and at this length.
+#: A longer token is decoded piece by piece, cut at its separators and at this length; a longer spelt-out
+#: stretch in windows of nearly twice this length, half of which the next window shares.
 LONGEST = 64
 #: Log odds of any text where no label was learnt from.
 NO_LABELS = -10.0
@@ -47,6 +48,8 @@ NO_LABELS = -10.0
 _EDGES = ".,;:!?\"'()[]{}<>«»„“”|-–—…*_`"
 _SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!])(?:[ .\-_*](?:[^\W_]|[@$!])){2,}(?![^\s.,;:!?])")
 _SEPARATED = re.compile(r"[^\w@$!|+]+")
+#: A number, a price, a share; no letters are behind its signs.
+_NUMBER = re.compile(r"[(<]?[+#$€£]?[\d\s.,:;/\\=~^'\"`-]*[%$€£+]?[!?.,;:]*[)>]?")
 _THRICE = re.compile(r"([^\W\d_])\1\1")
 
 
@@ -101,8 +104,14 @@ def log_model(counts: np.ndarray) -> np.ndarray:
     return np.log(p3)
 
 
-def lattice(token: str) -> list[list[tuple[str, float]]]:
-    """For every character its readings (letters, log cost); an empty reading leaves it out."""
+def lattice(token: str, spelt: bool = False) -> list[list[tuple[str, float]]]:
+    """For every character its readings (letters, log cost); an empty reading leaves it out.
+
+    In a ``spelt`` stretch every second character is a break, which may also part two words.
+    """
+    if spelt:
+        breaks = [("", 0.0), (" ", 0.0)]
+        return [breaks if at % 2 else lattice(c)[0] for at, c in enumerate(token)]
     columns: list[list[tuple[str, float]]] = []
     at = 0
     while at < len(token):
@@ -131,14 +140,14 @@ def lattice(token: str) -> list[list[tuple[str, float]]]:
     return columns
 
 
-def decode(token: str, model: np.ndarray, table: np.ndarray, most: int = 3) -> tuple[str, ...]:
+def decode(token: str, model: np.ndarray, table: np.ndarray, most: int = 3, spelt: bool = False) -> tuple[str, ...]:
     """The likeliest letters behind a token, best first.
 
     Viterbi over the lattice; states are the last two symbols, and each keeps its ``most`` best
     paths, so that close readings (``1`` as i or l) all reach the score.
     """
     best: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
-    for column in lattice(token):
+    for column in lattice(token, spelt):
         following: dict[tuple[int, int], dict[str, float]] = {}
         for (a, b), paths in best.items():
             for letters, cost in column:
@@ -161,6 +170,11 @@ def decode(token: str, model: np.ndarray, table: np.ndarray, most: int = 3) -> t
     return tuple(sorted((t for t in ended if t), key=lambda t: (-ended[t], t))[:most])
 
 
+def coded(token: str) -> bool:
+    """Whether a token without letters may be a word in signs: two different ones at least, and no number."""
+    return len({c for c in token if c in SIGNS or c in MASKS}) > 1 and not _NUMBER.fullmatch(token)
+
+
 @dataclass
 class Restorer:
     """Restored words of texts; each distinct token is decoded once."""
@@ -175,17 +189,35 @@ class Restorer:
         for plain in (token, token.strip(_EDGES)):
             if plain.isalpha() and not _THRICE.search(plain):
                 return (plain,)
-        # A token without letters is a number or a rule.
-        if not any(c.isalpha() for c in token):
+        # Another token without letters is a number or a rule.
+        if not any(c.isalpha() for c in token) and not coded(token):
             return ()
+        stretch = _SPACED.fullmatch(token)
+        parted = self.parted(token) if stretch else ()
         if len(token) > LONGEST:
+            if stretch:
+                return parted
             parts = (p[at : at + LONGEST] for p in _SEPARATED.split(token) for at in range(0, len(p), LONGEST))
             return tuple(dict.fromkeys(word for part in parts for word in self.readings(part)))
         most = 8 if any(c in MASKS for c in token[1:-1]) else 3
-        return decode(token.strip(BREAKS + "?()[]{}\"«»„“”–—…").rstrip("!" + BREAKS), self.model, self.table, most)
+        whole = decode(token.strip(BREAKS + "?()[]{}\"«»„“”–—…").rstrip("!" + BREAKS), self.model, self.table, most)
+        return tuple(dict.fromkeys(whole + parted))
+
+    def parted(self, stretch: str) -> tuple[str, ...]:
+        """The words of a spelt-out stretch, by windows; a word that a window's end may cut is left to the next one."""
+        found: dict[str, None] = {}
+        for at in range(0, max(len(stretch) - LONGEST + 1, 1), LONGEST):
+            window = stretch[at : at + 2 * LONGEST - 1]
+            for text in decode(window, self.model, self.table, spelt=True):
+                words = text.split()
+                for number, word in enumerate(words):
+                    cut = (at and number == 0) or (at + len(window) < len(stretch) and number == len(words) - 1)
+                    if not cut or len(word) >= LONGEST // 2:
+                        found[word] = None
+        return tuple(found)
 
     def words(self, text: str) -> set[str]:
-        """Distinct restored words of a whole text, spelt-out words joined."""
+        """Distinct restored words of a whole text, spelt-out words joined, and parted where the model says so."""
         lowered = text.lower()
         found = set(lowered.split())
         found.update(m.group() for m in _SPACED.finditer(lowered))

@@ -155,3 +155,82 @@ def base_spans(text):
             if good:
                 found.append((m.start(), order, f"{kind}:{m.start()}:{m.end()}"))
     return [s for _, _, s in sorted(found)]
+
+
+def window_dedup(rows, width=20):
+    """(words, spans, kept) of each (id, text): by looking at every window."""
+    split = [(i, (text or "").encode().split()) for i, text in rows]
+    first = {}
+    for i, words in split:
+        for p in range(len(words) - width + 1):
+            if i is not None:
+                key = tuple(words[p : p + width])
+                first[key] = min(first.get(key, i), i)
+    out = []
+    for i, words in split:
+        gone, own = [False] * len(words), set()
+        for p in range(len(words) - width + 1):
+            key = tuple(words[p : p + width])
+            if key in own or (i is not None and first[key] < i):
+                gone[p : p + width] = [True] * width
+            own.add(key)
+        edges = [k for k in range(len(words) + 1) if (gone + [False])[k] != ([False] + gone)[k]]
+        kept = b" ".join(w for w, g in zip(words, gone) if not g)
+        out.append((len(words), list(zip(edges[::2], edges[1::2])), kept))
+    return out
+
+
+def record(*values):
+    return "".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values)
+
+
+def merkle(groups):
+    """{group: [(leaf, subroot, root, proof)]} of {group: [leaf]}, groups and leaves in order."""
+
+    def climb(level):
+        ways, here = [[] for _ in level], list(range(len(level)))
+        while len(level) > 1:
+            for k, at in enumerate(here):
+                if at ^ 1 < len(level):
+                    ways[k].append((at & 1, level[at ^ 1]))
+                else:
+                    ways[k].append(None)
+                here[k] = at // 2
+            level = [sha("".join(level[at : at + 2])) for at in range(0, len(level), 2)]
+        return level[0], ways
+
+    subs = {g: climb(leaves) for g, leaves in groups.items()}
+    root, tops = climb([s for s, _ in subs.values()])
+    return {
+        g: [(leaf, subs[g][0], root, own + top) for leaf, own in zip(groups[g], subs[g][1])]
+        for g, top in zip(groups, tops)
+    }
+
+
+def fold(leaf, proof):
+    for step in proof:
+        leaf = sha(leaf if step is None else step[1] + leaf if step[0] else leaf + step[1])
+    return leaf
+
+
+def runs(words, least=12):
+    """[(start, length, period)] of all runs, by trying every period at every place."""
+    found = {}
+    for q in range(1, len(words) // 2 + 1):
+        p = 0
+        while p + q < len(words):
+            if words[p] != words[p + q]:
+                p += 1
+                continue
+            e = p
+            while e + q < len(words) and words[e] == words[e + q]:
+                e += 1
+            if e + q - p >= max(least, 2 * q):
+                found.setdefault((p, e + q), q)
+            p = e + 1
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def collapsed(words, runs):
+    gone = {k for s, n, q in runs for k in range(s + q, s + n)}
+    return b" ".join(w for k, w in enumerate(words) if k not in gone)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidelake.llm.rows import texts
+from tidelake.llm.rows import texts, written
 
 #: Words of the contract, on UTF-8 bytes: ASCII letters and digits, and everything beyond ASCII.
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -150,11 +150,14 @@ def contaminated_words(
     order = W.partitionBy("window").orderBy("windows", "offset")
     chosen = places.join(common, "key").withColumn("_r", F.row_number().over(order)).where("_r = 1")
     held = windows.groupBy("window", "size").agg(F.collect_set("item").alias("item_ids"))
-    prefixes = chosen.join(held, "window").select("key", "offset", "window", "size", "item_ids").persist()
+    prefixes = chosen.join(held, "window").select("key", "offset", "window", "size", "item_ids")
+    # One of the windows that share a key stands for it where rows are counted.
+    first = F.row_number().over(W.partitionBy("key").orderBy("window")) == 1
+    prefixes = written(prefixes.withColumn("first", first), "prefixes")
     widths = sorted(r[0] for r in prefixes.select(F.least("size", F.lit(shingle))).distinct().collect())
     rows = texts(docs, id_col, text_col)
     found = shingle_hits(rows, widths, _sieve_of(prefixes, "key"), window)
-    each = found.select("id", "sig", "n_words", F.explode_outer("hits").alias("hit"))
+    each = found.select("id", "sig", "n_words", F.posexplode_outer("hits").alias("number", "hit"))
     # Rows without hits get a key of their own each, or they would all meet in one task.
     each = each.withColumn("sought", F.coalesce("hit.key", F.xxhash64("id", "sig", F.lit("none"))))
     joined = each.join(prefixes, each["sought"] == prefixes["key"], "left")
@@ -166,11 +169,15 @@ def contaminated_words(
         "id", "sig", "n_words",
         F.when(match, F.struct(begin.alias("b"), (begin + F.col("size")).alias("e"))).alias("span"),
         F.when(match, F.col("item_ids")).alias("item_ids"),
+        ((F.coalesce("number", F.lit(0)) == 0) & F.coalesce("first", F.lit(True))).alias("counts"),
     )
     grouped = spans.groupBy("id", "sig", "n_words").agg(
         F.sort_array(F.collect_set("span")).alias("spans"),
         F.sort_array(F.array_distinct(F.flatten(F.collect_set("item_ids")))).alias("items"),
+        F.count_if("counts").alias("copies"),
     )
+    # Rows of one id and text have one result; it stands as often as they do.
+    grouped = grouped.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
     covered = F.aggregate(
         "spans",
         F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).alias("upto")),

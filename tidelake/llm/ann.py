@@ -32,7 +32,7 @@ class Index:
     Without functions its one table has a single bucket, so that a query meets every row.
     """
 
-    norm: float  # the largest norm of the range's rows
+    norm: float  # the largest norm of the range's rows, as a logarithm to base 2
     a: np.ndarray  # tables x functions x (dimensions + 1)
     b: np.ndarray  # tables x functions
     w: np.ndarray
@@ -40,21 +40,43 @@ class Index:
 
     def lifted(self, x: np.ndarray, query: bool) -> np.ndarray:
         """One more dimension turns the largest inner product into the least distance."""
-        norms = np.linalg.norm(x, axis=1, keepdims=True)
+        unit, norms = unit_rows(x)
         if query:
-            return np.hstack([x / norms, np.zeros_like(norms)])
-        scaled = x / self.norm
-        return np.hstack([scaled, np.sqrt(np.maximum(0.0, 1 - (norms / self.norm) ** 2))])
+            return np.hstack([unit, np.zeros((len(x), 1))])
+        share = np.exp2(np.minimum(norms - self.norm, 0.0))[:, None]
+        return np.hstack([unit * share, np.sqrt(1 - share**2)])
 
     def places(self, lifted: np.ndarray, table: int) -> np.ndarray:
         """Unrounded places of the rows on the table's functions."""
         return (lifted @ self.a[table].T + self.b[table]) / self.w[table]
 
 
+def unit_rows(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of norm 1, and the norms as logarithms to base 2.
+
+    Scaled by the largest component first: squares of very large or small components leave the range of doubles.
+    """
+    largest = np.abs(x).max(axis=1, keepdims=True, initial=0.0)
+    largest[largest == 0] = 1.0
+    # Dividing by a subnormal number could overflow; twice by its root cannot.
+    root = np.sqrt(largest)
+    scaled = x / root / root
+    rest = np.linalg.norm(scaled, axis=1, keepdims=True)
+    return scaled / rest, (np.log2(largest) + np.log2(rest))[:, 0]
+
+
+def products(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Inner products in double precision; one beyond the range of doubles counts as the end of that range."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        scores = queries @ rows.T
+    ends = np.finfo(np.float64)
+    return np.nan_to_num(scores, copy=False, nan=0.0, posinf=ends.max, neginf=ends.min)
+
+
 def ranges_of(x: np.ndarray, ranges: list[Index]) -> np.ndarray:
     """The number of each row's range; they come in falling order of their norms."""
     norms = np.array([-own.norm for own in ranges])
-    return np.maximum(np.searchsorted(norms, -np.linalg.norm(x, axis=1), side="right") - 1, 0)
+    return np.maximum(np.searchsorted(norms, -unit_rows(x)[1], side="right") - 1, 0)
 
 
 def first_tables(ranges: list[Index]) -> list[int]:
@@ -143,7 +165,7 @@ def exact_neighbours(vectors: DataFrame, ids: np.ndarray, queries: np.ndarray, k
             if not batch.num_rows:
                 continue
             mine = batch["id"].to_numpy()
-            scores = q @ _matrix(batch["v"]).T
+            scores = products(q, _matrix(batch["v"]))
             scores[asked[:, None] == mine[None, :]] = -np.inf
             rows, columns = best(scores, mine, k)
             yield pa.RecordBatch.from_arrays(
@@ -168,12 +190,15 @@ def fit_index(
     neighbour's bucket in its query's order tells how many probes find it.  A range where
     ``MOST_PROBES`` miss the target has no functions: its rows are all looked at.
     """
-    square = F.greatest(F.aggregate("v", F.lit(0.0), lambda t, x: t + x * x), F.lit(1e-300))
-    largest = vectors.agg(F.max(square)).first()[0]
+    # In logarithms, and scaled by the largest component: no finite vector is too long or too short.
+    top = F.array_max(F.transform("v", F.abs))
+    root = F.sqrt(top)
+    norm = F.log2(top) + F.log2(F.aggregate("v", F.lit(0.0), lambda t, x: t + F.pow(x / root / root, F.lit(2)))) / 2
+    largest = vectors.agg(F.max(norm)).first()[0]
     if largest is None:
         return []
-    band = F.floor(F.log2(F.lit(largest) / square)).cast("int")
-    stats = vectors.groupBy(band.alias("band")).agg(F.count("*").alias("n"), F.max(square).alias("norm")).orderBy("band").collect()
+    band = F.floor(2 * (F.lit(largest) - norm)).cast("int")
+    stats = vectors.groupBy(band.alias("band")).agg(F.count("*").alias("n"), F.max(norm).alias("norm")).orderBy("band").collect()
     # Uniform by hash times the rows of the range: the least come evenly from all ranges.
     sizes = F.element_at(F.create_map(*[F.lit(x) for row in stats for x in (row["band"], float(row["n"]))]), band)
     draw = (F.xxhash64("id", F.lit(seed)).cast("double") + 2.0**63) * sizes
@@ -184,7 +209,7 @@ def fit_index(
         functions = max(0, round(np.log(row["n"] / 64) / np.log(4)))
         held = tables if functions else 1
         a = random.normal(size=(held, functions, sample.shape[1] + 1))
-        ranges.append(Index(float(np.sqrt(row["norm"])), a, np.zeros((held, functions)), np.ones((held, functions))))
+        ranges.append(Index(float(row["norm"]), a, np.zeros((held, functions)), np.ones((held, functions))))
     of = ranges_of(sample, ranges)
     for number, own in enumerate(ranges):
         mine = sample[of == number]
@@ -248,7 +273,8 @@ def nearest(
     * Vectors that are null, zero, or hold null or non-finite components, rows without an id, and
       vectors of another length than the commonest take no part.
     * Rows that repeat an id are one candidate with the best of their scores, and never their own.
-    * Equal scores go to the smaller id; ranks start at 1.
+    * Equal scores go to the smaller id; ranks start at 1.  A score beyond the range of doubles is the end of
+      that range, one that isn't a number (endless parts of both signs) is 0.
     * An empty table, or one of a single row, gives no rows; further columns are not read.
     """
     vectors = usable(rows, id_col, vector_col)
@@ -340,7 +366,7 @@ def nearest(
                     there = where < len(buckets)
                     there[there] &= buckets[where[there]] == lists.flatten().to_numpy()[there]
                     visited[who[there], where[there]] = True
-                    scores = _matrix(part["v"].combine_chunks()) @ x.T
+                    scores = products(_matrix(part["v"].combine_chunks()), x)
                     scores[~visited[:, of]] = -np.inf
                     scores[q[:, None] == ids[None, :]] = -np.inf
                     r, c = best(scores, ids, k)

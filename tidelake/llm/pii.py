@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelake.llm.rows import texts
+from tidelake.llm.rows import texts, written
 
 #: Kinds of base spans in their listed order; the method's own kind comes last.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -29,6 +29,8 @@ _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _IP_IN_RANGE = rf"^{_BYTE}\.{_BYTE}\.{_BYTE}\.{_BYTE}$"
 
 _WORD_GAP = r"[^\p{L}]+"
+#: Context is sought in slices of 16 code points a word, made so many times as long until there is enough.
+SLICES = (1, 8, 64)
 _ONE_SPAN = "struct<start:int,kind:int,end:int,value:string>"
 
 
@@ -103,13 +105,35 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*found))
 
 
-def _context_words(text: Column, span: Column, reach: int, words: int) -> Column:
-    """The nearest words on both sides of a span, within its line."""
-    before = F.substring_index(F.substr(text, F.greatest(span["start"] - reach + 1, F.lit(1)), F.least(span["start"], F.lit(reach))), "\n", -1)
-    after = F.substring_index(F.substr(text, span["end"] + 1, F.lit(reach)), "\n", 1)
-    left = F.filter(F.split(F.lower(before), _WORD_GAP), lambda w: w != "")
-    right = F.filter(F.split(F.lower(after), _WORD_GAP), lambda w: w != "")
-    return F.concat(F.slice(left, F.greatest(F.size(left) - words + 1, F.lit(1)), F.lit(words)), F.slice(right, F.lit(1), F.lit(words)))
+def _context_words(text: Column, span: Column, words: int) -> Column:
+    """The nearest words on both sides of a span, within its line; a word that a slice may have cut is left out.
+
+    Slices of the text grow until they hold enough whole words or the line's end.
+    """
+
+    def side(reach: int, ahead: bool) -> tuple[Column, Column]:
+        """The whole words of a slice, nearest first, and whether there can be no more, or need not."""
+        if ahead:
+            piece = F.substr(text, span["end"] + 1, F.lit(reach))
+            line, short = F.substring_index(piece, "\n", 1), F.length(piece) < reach
+        else:
+            piece = F.substr(text, F.greatest(span["start"] - reach + 1, F.lit(1)), F.least(span["start"], F.lit(reach)))
+            line, short = F.substring_index(piece, "\n", -1), span["start"] <= reach
+        parts = F.split(F.lower(line), _WORD_GAP)
+        parts = parts if ahead else F.reverse(parts)
+        whole = short | (F.length(line) < F.length(piece))
+        inside = F.when(whole, parts).otherwise(F.slice(parts, F.lit(1), F.size(parts) - 1))
+        found = F.filter(inside, lambda w: w != "")
+        return F.slice(found, F.lit(1), F.lit(words)), whole | (F.size(found) >= words)
+
+    def nearest(ahead: bool) -> Column:
+        slices = [side(16 * words * grown, ahead) for grown in SLICES]
+        chosen = slices[-1][0]
+        for found, enough in reversed(slices[:-1]):
+            chosen = F.when(enough, found).otherwise(chosen)
+        return chosen
+
+    return F.concat(F.reverse(nearest(False)), nearest(True))
 
 
 def _sieve(terms: DataFrame, bits: int = 20) -> Column:
@@ -143,8 +167,8 @@ def disclosing_terms(
 
     ``rows`` holds (text, spans).  A word discloses an entity when
 
-    * it stands within ``words`` words of the entity in ``min_contexts`` different contexts
-      (copies of one context count once),
+    * it stands within ``words`` words of the entity, on its line and at most 16 * ``words`` * 64 code points
+      away, in ``min_contexts`` different contexts (copies of one context count once),
     * seeing it makes the entity likely: joint count / count of the word anywhere in the
       corpus is at least ``min_confidence``, and
     * its pointwise mutual information with the entity is at least ``min_share`` of the entity's
@@ -152,11 +176,10 @@ def disclosing_terms(
 
     Words that stand beside many entities fail the second test.  All counts are over all rows.
     """
-    reach = 16 * words
     held = rows.where(F.size("spans") > 0)
     beside = held.select("text", F.explode("spans").alias("span")).select(
         F.struct(F.col("span.kind"), F.lower("span.value").alias("value")).alias("entity"),
-        _context_words(F.col("text"), F.col("span"), reach, words).alias("context"),
+        _context_words(F.col("text"), F.col("span"), words).alias("context"),
     )
     pairs = beside.select("entity", F.xxhash64("context").alias("context"), F.explode("context").alias("term"))
     pairs = pairs.where(F.length("term") >= min_letters)
@@ -165,7 +188,7 @@ def disclosing_terms(
         .groupBy("entity", "term").agg(F.sum("n").alias("n_both"), F.count("*").alias("contexts"))
         .where(F.col("contexts") >= min_contexts)
     )
-    joint = joint.persist()
+    joint = written(joint, "joint")
     sieve = _sieve(joint.select("term"))
     # Every word of the corpus is read; those that can't be candidates stop at the sieve.
     corpus = rows.select(F.explode(F.split(F.lower("text"), _WORD_GAP)).alias("term"))
@@ -202,7 +225,8 @@ def personal_data(
     * An empty table gives an empty table; further columns are not read.
     """
     rows = texts(docs, id_col, text_col).withColumn("spans", base_spans(F.col("text")))
-    terms = disclosing_terms(rows.select("text", "spans"), **thresholds).persist()
+    terms = disclosing_terms(rows.select("text", "spans"), **thresholds)
+    terms = written(terms, "terms")
     sieve = _sieve(terms.select("term"))
     worded = rows.select("id", "sig", F.explode(F.array_distinct(F.split(F.lower("text"), _WORD_GAP))).alias("term"))
     told = (

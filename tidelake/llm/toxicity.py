@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelake.llm.rows import crc_fold, texts
+from tidelake.llm.rows import crc_fold, texts, written
 
 # The alphabet of the character model (0 is a boundary, 1 any other letter),
 # and what obfuscating signs may stand for.
@@ -36,17 +36,19 @@ DROP_COST = -9.0
 MASK_COST = -2.0
 #: Labelled rows that the classifier is fitted on, at most: those of least hash.
 MAX_LABELLED = 20_000
-#: Features that the classifier may weigh, at most.
-MAX_FEATURES = 30_000
+#: Features are hashed to so many places, each with a weight; families of toxic rows that a weighed one needs.
+SPACE, LEAST_FAMILIES = 1 << 20, 3
 
-#: A longer token is decoded piece by piece, cut at its separators and at this length; a longer spelt-out
-#: stretch in windows of nearly twice this length, half of which the next window shares.
+#: A longer token, and a spelt-out stretch, is decoded in windows of nearly twice this length, half of which
+#: the next window shares.
 LONGEST = 64
 #: Log odds of any text where no label was learnt from.
 NO_LABELS = -10.0
 
 _EDGES = ".,;:!?\"'()[]{}<>«»„“”|-–—…*_`"
-_SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!])(?:[ .\-_*](?:[^\W_]|[@$!])){2,}(?![^\s.,;:!?])")
+#: Single letters parted by blanks or by one sign.
+_SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[@$!])(?:(?: +|[.\-_*~'\"`^,:;/\\=#])(?:[^\W_]|[@$!])){2,}(?![^\s.,;:!?])")
+_BLANKS = re.compile(" +")
 _SEPARATED = re.compile(r"[^\w@$!|+]+")
 #: A number, a price, a share; no letters are behind its signs.
 _NUMBER = re.compile(r"[(<]?[+#$€£]?[\d\s.,:;/\\=~^'\"`-]*[%$€£+]?[!?.,;:]*[)>]?")
@@ -104,10 +106,11 @@ def log_model(counts: np.ndarray) -> np.ndarray:
     return np.log(p3)
 
 
-def lattice(token: str, spelt: bool = False) -> list[list[tuple[str, float]]]:
+def lattice(token: str, spelt: bool = False, parted: bool = False) -> list[list[tuple[str, float]]]:
     """For every character its readings (letters, log cost); an empty reading leaves it out.
 
-    In a ``spelt`` stretch every second character is a break, which may also part two words.
+    In a ``spelt`` stretch every second character is a break, which may also part two words; in a
+    ``parted`` token every break may.
     """
     if spelt:
         breaks = [("", 0.0), (" ", 0.0)]
@@ -133,6 +136,8 @@ def lattice(token: str, spelt: bool = False) -> list[list[tuple[str, float]]]:
             readings = [("", BREAK_COST if c in BREAKS else DROP_COST)]
             if c in MASKS and run == 1 and 0 < at < len(token) - 1:
                 readings += [(letter, MASK_COST) for letter in ALPHABET[:26]]
+            if parted and c in BREAKS:
+                readings.append((" ", 0.0))
             columns.append(readings)
         else:
             columns.append([("", DROP_COST)])
@@ -140,14 +145,16 @@ def lattice(token: str, spelt: bool = False) -> list[list[tuple[str, float]]]:
     return columns
 
 
-def decode(token: str, model: np.ndarray, table: np.ndarray, most: int = 3, spelt: bool = False) -> tuple[str, ...]:
+def decode(
+    token: str, model: np.ndarray, table: np.ndarray, most: int = 3, spelt: bool = False, parted: bool = False
+) -> tuple[str, ...]:
     """The likeliest letters behind a token, best first.
 
     Viterbi over the lattice; states are the last two symbols, and each keeps its ``most`` best
     paths, so that close readings (``1`` as i or l) all reach the score.
     """
     best: dict[tuple[int, int], list[tuple[float, str]]] = {(0, 0): [(0.0, "")]}
-    for column in lattice(token, spelt):
+    for column in lattice(token, spelt, parted):
         following: dict[tuple[int, int], dict[str, float]] = {}
         for (a, b), paths in best.items():
             for letters, cost in column:
@@ -192,26 +199,29 @@ class Restorer:
         # Another token without letters is a number or a rule.
         if not any(c.isalpha() for c in token) and not coded(token):
             return ()
-        stretch = _SPACED.fullmatch(token)
-        parted = self.parted(token) if stretch else ()
-        if len(token) > LONGEST:
-            if stretch:
-                return parted
-            parts = (p[at : at + LONGEST] for p in _SEPARATED.split(token) for at in range(0, len(p), LONGEST))
-            return tuple(dict.fromkeys(word for part in parts for word in self.readings(part)))
+        if _SPACED.fullmatch(token):
+            spelt = self.parted(_BLANKS.sub(" ", token), True)
+            return spelt if len(token) > LONGEST else tuple(dict.fromkeys(self.whole(token) + spelt))
+        if len(token) <= LONGEST:
+            return self.whole(token)
+        # The pieces between separators as tokens of their own, and the words that windows of the token hold.
+        pieces = (word for part in _SEPARATED.split(token) if len(part) <= LONGEST for word in self.readings(part))
+        return tuple(dict.fromkeys((*pieces, *self.parted(token, False))))
+
+    def whole(self, token: str) -> tuple[str, ...]:
+        """The likeliest readings of a token as one word."""
         most = 8 if any(c in MASKS for c in token[1:-1]) else 3
-        whole = decode(token.strip(BREAKS + "?()[]{}\"«»„“”–—…").rstrip("!" + BREAKS), self.model, self.table, most)
-        return tuple(dict.fromkeys(whole + parted))
+        return decode(token.strip(BREAKS + "?()[]{}\"«»„“”–—…").rstrip("!" + BREAKS), self.model, self.table, most)
 
-    def parted(self, stretch: str) -> tuple[str, ...]:
-        """The words of a spelt-out stretch, by windows; a word that a window's end may cut is left to the next one."""
+    def parted(self, token: str, spelt: bool) -> tuple[str, ...]:
+        """The words of a spelt-out stretch or a long token, by windows; a word that a window's end may cut is left to the next one."""
         found: dict[str, None] = {}
-        for at in range(0, max(len(stretch) - LONGEST + 1, 1), LONGEST):
-            window = stretch[at : at + 2 * LONGEST - 1]
-            for text in decode(window, self.model, self.table, spelt=True):
+        for at in range(0, max(len(token) - LONGEST + 1, 1), LONGEST):
+            window = token[at : at + 2 * LONGEST - 1]
+            for text in decode(window, self.model, self.table, spelt=spelt, parted=not spelt):
                 words = text.split()
                 for number, word in enumerate(words):
-                    cut = (at and number == 0) or (at + len(window) < len(stretch) and number == len(words) - 1)
+                    cut = (at and number == 0) or (at + len(window) < len(token) and number == len(words) - 1)
                     if not cut or len(word) >= LONGEST // 2:
                         found[word] = None
         return tuple(found)
@@ -233,9 +243,10 @@ class Restorer:
         return out
 
 
-def features(word: str) -> list[str]:
-    """The word itself, and its beginnings of four to six letters."""
-    return [f"={word}", *(f"^{word[:n]}" for n in range(4, min(len(word), 6) + 1))]
+def features(word: str) -> list[int]:
+    """The word itself, and its beginnings of four to six letters, as places in a fixed space."""
+    named = (f"={word}", *(f"^{word[:n]}" for n in range(4, min(len(word), 6) + 1)))
+    return [zlib.crc32(name.encode("utf-8", "surrogatepass")) % SPACE for name in named]
 
 
 def family(words: set[str]) -> int:
@@ -247,10 +258,10 @@ def family(words: set[str]) -> int:
 
 @dataclass
 class ToxicityModel:
-    """Character model and weights; its size is bounded by SYMBOLS and MAX_FEATURES."""
+    """Character model and weights; its size is bounded by SYMBOLS and SPACE."""
 
     model: np.ndarray
-    weights: dict[str, float]
+    weights: dict[int, float]
     bias: float
 
 
@@ -262,15 +273,14 @@ def fit_toxicity(
     label_col: str = "toxic",
     folds: int = 5,
     max_labelled: int = MAX_LABELLED,
-    max_features: int = MAX_FEATURES,
 ) -> ToxicityModel:
     """Learn from the rows outside fold 0 (crc32 of the id modulo ``folds``).
 
     The character model counts every such text, labelled or not.  The classifier is fitted on the
-    ``max_labelled`` labelled rows of least hash: features met in toxic rows are counted on the
-    cluster, the commonest ``max_features`` form sparse rows, and the regression is solved
-    over those that are at least twice as common among toxic rows.  Equal texts, and
-    families of nearly equal ones, count once, so a group of copies teaches no more than one row.
+    ``max_labelled`` labelled rows of least hash: hashed features form sparse rows, are counted on the
+    cluster, and the regression is solved over those that are at least twice as common among
+    toxic rows and stand in three families of them.  Equal texts, and families of nearly equal
+    ones, count once, so a group of copies teaches no more than one row.
 
     * Rows without an id have no fold and are not learnt from; of labels that repeat an id, the
       largest counts, and null labels none.
@@ -283,34 +293,18 @@ def fit_toxicity(
     order = F.xxhash64("sig", F.lit(11))
     sample = (
         learnt.select("id", "sig").join(marks, "id").groupBy("sig").agg(F.min("id").alias("id"), F.max("y").alias("y"))
-        .orderBy(order, "sig").limit(max_labelled).persist()
+        .orderBy(order, "sig").limit(max_labelled)
     )
+    sample = written(sample, "labelled")
     labelled = learnt.join(F.broadcast(sample), ["id", "sig"], "left_semi").join(F.broadcast(sample.select("sig", "y")), "sig").select("text", "y")
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(model)
-        for batch in batches:
-            for text in batch["text"]:
-                words = restorer.words(text.as_py())
-                mine = sorted({f for word in words for f in features(word)})
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(mine, pa.string()), pa.array([family(words)] * len(mine), pa.int64())], names=["feature", "family"]
-                )
-
-    toxic = labelled.where("y = 1").select("text").mapInArrow(counted, "feature string, family bigint")
-    common = (
-        toxic.distinct().groupBy("feature").agg(F.count("*").alias("n")).where("n >= 3")
-        .orderBy(F.desc("n"), "feature").limit(max_features)
-    )
-    numbers = {row["feature"]: i for i, row in enumerate(common.collect())}
-
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(model)
         for batch in batches:
             xs, families = [], []
             for text in batch["text"]:
                 words = restorer.words(text.as_py())
-                xs.append(sorted({numbers[f] for word in words for f in features(word) if f in numbers}))
+                xs.append(sorted({f for word in words for f in features(word)}))
                 families.append(family(words))
             arrays = [batch["y"], pa.array(families, pa.int64()), pa.array(xs, pa.list_(pa.int32()))]
             yield pa.RecordBatch.from_arrays(arrays, names=["y", "family", "x"])
@@ -318,7 +312,7 @@ def fit_toxicity(
     found = labelled.select("text", F.col("y").cast("int").alias("y")).mapInArrow(sparse, "y int, family bigint, x array<int>")
     families = found.groupBy("family", "y").agg(F.min("x").alias("x")).persist()
     try:
-        useful = useful_features(families, len(numbers))
+        useful = useful_features(families)
 
         def thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -333,20 +327,19 @@ def fit_toxicity(
         return ToxicityModel(model, {}, NO_LABELS)
     x = kept["x"].combine_chunks()
     row = np.repeat(np.arange(kept.num_rows), np.diff(x.offsets.to_numpy()))
-    weights, bias = solve(x.flatten().to_numpy(), row, kept["y"].to_numpy() == 1, len(numbers))
-    names = list(numbers)
-    return ToxicityModel(model, {names[i]: float(weights[i]) for i in np.flatnonzero(weights)}, bias)
+    weights, bias = solve(x.flatten().to_numpy(), row, kept["y"].to_numpy() == 1, SPACE)
+    return ToxicityModel(model, {int(i): float(weights[i]) for i in np.flatnonzero(weights)}, bias)
 
 
-def useful_features(families: DataFrame, size: int) -> np.ndarray:
-    """Whether each feature is at least twice as common among toxic rows; counted on the cluster."""
+def useful_features(families: DataFrame) -> np.ndarray:
+    """Whether each feature is at least twice as common among toxic rows, and not rare there; counted on the cluster."""
     totals = families.agg(F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg")).first()
     each = families.select("y", F.explode("x").alias("f")).groupBy("f").agg(
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") != 1).alias("neg")
-    ).toArrow()
-    pos, neg = np.zeros(size), np.zeros(size)
+    ).where(F.col("pos") >= LEAST_FAMILIES).toArrow()
+    pos, neg = np.zeros(SPACE), np.zeros(SPACE)
     pos[each["f"].to_numpy()], neg[each["f"].to_numpy()] = each["pos"].to_numpy(), each["neg"].to_numpy()
-    return (pos + 0.5) / (totals["pos"] + 1) >= 2 * (neg + 0.5) / (totals["neg"] + 1)
+    return (pos >= LEAST_FAMILIES) & ((pos + 0.5) / (totals["pos"] + 1) >= 2 * (neg + 0.5) / (totals["neg"] + 1))
 
 
 def solve(flat: np.ndarray, row: np.ndarray, toxic: np.ndarray, size: int, rounds: int = 300, ridge: float = 0.02):

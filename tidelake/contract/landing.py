@@ -23,9 +23,12 @@ from tidelake.operators import archive as ar
 from tidelake.operators import bulk as b
 from tidelake.operators import bulk_archive as ba
 from tidelake.operators import catalog as c
+from tidelake.operators import manifest_log
 from tidelake.operators import mirror as mi
+from tidelake.operators.health import health_fold
 from tidelake.schemas import EVENT_SNAPSHOT, EVENTS_DATASET, ODDS_DATASET, ODDS_SNAPSHOT
 from tidelake.session import scratch_path
+from tidelake.sources import commits
 from tidelake.sources import dumps as du
 from tidelake.sources import lake
 from tidelake.streaming import collect as st
@@ -157,6 +160,70 @@ def write_manifest(spark, sf):
     return entries.select("partition", "e.rows", "e.min_ts", "e.max_ts", problems.alias("violations"))
 
 
+_ENTRY_SQL = f"""SELECT 'sports_events/source_slug=' || source || '/sport_slug=' || replace(lower(sport), ' ', '-') || '/event_date='
+       || CAST(event_ts AS DATE) AS partition, count(*) AS rows FROM ({_STORED}) GROUP BY source, sport, event_ts"""
+
+
+@query("manifest_after_crash", with_views(f"SELECT *, 1 AS generations FROM ({_ENTRY_SQL})", "observations"))
+def manifest_after_crash(spark, sf):
+    """Writes that die in every step of an append and of a fold leave the manifest whole; the next fold clears up."""
+    root, snapshots = scratch_path(spark, "events"), _snapshots(spark, sf)
+    path = manifest_log.log_path(root, EVENTS_DATASET)
+    wrong = spark.sql("""SELECT '{"partitions":{"torn":{"rows":1}}}' AS value""")
+    early = F.col("observed_at") < F.lit(v.SPLIT).cast("timestamp")
+    for number, rows in enumerate((snapshots.where(early), snapshots), 1):
+        result = ar.write_event_archive(rows, root, ["seq"])
+        # Dies before its generation is complete; then the batch is run again.
+        wrong.write.text(f"{path}/part-{number:012d}-torn")
+        ba.refresh_snapshot_manifest(spark, root, EVENTS_DATASET, result.touched, v.now())
+    wrong.write.text(f"{path}/base-{2:012d}-torn")
+    # A whole generation that a fold has replaced but not yet deleted.
+    replaced = commits.generations(spark, path)
+    manifest_log.fold(spark, root, EVENTS_DATASET)
+    left = len(commits.generations(spark, path))
+    if any(g.name not in commits.child_folders(spark, path) for g in replaced[1:]):
+        raise AssertionError("a generation was deleted while readers may be at it")
+    shape = "partitions map<string, struct<rows:bigint>>"
+    bodies = lake.read_manifest(spark, root, EVENTS_DATASET)
+    entries = bodies.select(F.explode(F.from_json("body", shape)["partitions"]).alias("partition", "e"))
+    return entries.select("partition", "e.rows", F.lit(left).alias("generations"))
+
+
+@query(
+    "stream_run_history",
+    """SELECT 'collect-odds-' || sport AS job, CASE sport WHEN 'basketball_nba' THEN 3 ELSE 2 END AS runs,
+              CASE sport WHEN 'icehockey_nhl' THEN 2 ELSE 0 END AS failures, CASE sport WHEN 'icehockey_nhl' THEN 'error' ELSE 'ok' END AS last_status,
+              true AS in_order, true AS as_folded
+       FROM (SELECT unnest(['basketball_nba', 'icehockey_nhl']) AS sport) WHERE (SELECT count(*) FROM events) > 0""",
+)
+def stream_run_history(spark, sf):
+    """Two sports, one of which is refused, collected side by side, and one of them again under a new checkpoint: the
+    health of each job follows from its own runs alone, in their order."""
+    base = scratch_path(spark, "stream")
+    good = F.to_json(F.struct(
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("id"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("commence_time"),
+    ))
+    events = v.table(spark, sf, "events")
+    bad = F.to_json(F.struct(F.col("event_id").alias("id")))
+    for sport, item in (("basketball_nba", good), ("icehockey_nhl", bad)):
+        bodies = events.select(F.concat(F.lit("["), item, F.lit("]")).alias("body"))
+        bodies.repartition(2).write.text(f"{base}/landing/{sport}")
+    for turn, sport in (("a", "basketball_nba"), ("a", "icehockey_nhl"), ("b", "basketball_nba")):
+        st.stream_odds_archive(
+            spark, f"{base}/landing/{sport}", sport, f"{base}/lake", f"{base}/checkpoint-{sport}-{turn}", quarantine_path=f"{base}/refused/{sport}",
+            per_line=True, files_per_batch=1 if turn == "a" else 2, run_log=f"{base}/runs",
+        ).awaitTermination()
+    outcomes = spark.read.parquet(f"{base}/runs").drop("stream", "batch")
+    log = spark.readStream.schema(outcomes.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/runs").select(*outcomes.columns)
+    st.stream_job_health(log, f"{base}/log", f"{base}/health", f"{base}/checkpoint-health").awaitTermination()
+    streamed, folded = st.current_health(spark, f"{base}/health"), health_fold(outcomes)
+    same = streamed.exceptAll(folded.select(*streamed.columns)).isEmpty()
+    turns = outcomes.select("job", F.row_number().over(W.partitionBy("job").orderBy("seq")).alias("a"), F.row_number().over(W.partitionBy("job").orderBy("ts")).alias("b"))
+    ordered = turns.where("a <> b").isEmpty() and outcomes.groupBy("job", "seq").count().where("count > 1").isEmpty()
+    return streamed.select("job", "runs", "failures", "last_status", F.lit(ordered).alias("in_order"), F.lit(same).alias("as_folded"))
+
+
 @query(
     "write_health",
     "SELECT CAST(user_id AS VARCHAR) AS job, count(*) FILTER (event_type <> 'signup') AS runs, TIMESTAMP '2024-01-31' AS written_at FROM events GROUP BY user_id",

@@ -13,6 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.storagelevel import StorageLevel
 
 from tidelake.functions.text import safe_component
+from tidelake.operators import manifest_log
 from tidelake.operators.archive import VerificationError, near_partitions
 from tidelake.operators.bulk import ARTIFACT_KEY, new_artifacts, row_count_mismatches
 from tidelake.operators.catalog import (
@@ -35,7 +36,7 @@ from tidelake.schemas import (
     PARTITION_COLUMNS,
     PROVENANCE_FILE,
 )
-from tidelake.session import scratch_path
+from tidelake.sources import commits
 from tidelake.sources.dumps import parquet_columns
 from tidelake.sources.lake import archive_path, path_exists, read_archive, relative_key, scan_files
 from tidelake.sources.paths import write_in_task
@@ -48,6 +49,7 @@ class BulkResult:
     attempted: int
     added: int
     rows: int
+    refused: int = 0
 
 
 def read_artifacts(spark: SparkSession, root: str) -> DataFrame:
@@ -126,7 +128,9 @@ def _refuse_shared_folders(new: DataFrame, records: DataFrame) -> None:
         raise VerificationError(f"{found.dataset}/{found.partition}: {found.one} and {found.other} share a version folder")
 
 
-def write_bulk_version(files: DataFrame, rows: DataFrame, root: str, dataset: str) -> BulkResult:
+def write_bulk_version(
+    files: DataFrame, rows: DataFrame, root: str, dataset: str, refused: DataFrame | None = None
+) -> BulkResult:
     """Import dump files as immutable versions below ``root/dataset``.
 
     ``files``: seq, dataset, partition, source_sha256, source_url,
@@ -134,7 +138,9 @@ def write_bulk_version(files: DataFrame, rows: DataFrame, root: str, dataset: st
     license_url, source_path.  ``rows``: publisher columns, source_path and the
     provenance columns.  The folders follow from each file's ``partition``
     (``part_<name>``, so that they never shadow a publisher's column) and its hash.
-    Content that a partition already holds is skipped if its folder is still there.
+    Content that a partition already holds is skipped if its folder is still there.  Files named in
+    ``refused`` (source_path) are not imported and get no record, so they are tried again; a file
+    that was read and has no rows is recorded with none.
 
     Data lands before its record.  A run that dies in between leaves a version
     without a record; the next run writes exactly that version folder anew, so
@@ -142,18 +148,22 @@ def write_bulk_version(files: DataFrame, rows: DataFrame, root: str, dataset: st
     """
     spark = files.sparkSession
     base = root.rstrip("/")
-    new = new_artifacts(files, present_artifacts(spark, root, dataset)).persist(StorageLevel.MEMORY_AND_DISK)
+    attempted, readable = files.count(), files
+    if refused is not None:
+        readable = files.join(refused.select("source_path").distinct(), "source_path", "left_anti").select(*files.columns)
+    failed = attempted - readable.count() if refused is not None else 0
+    new = new_artifacts(readable, present_artifacts(spark, root, dataset)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        attempted, added = files.count(), new.count()
+        added = new.count()
         if added == 0:
-            return BulkResult(attempted, 0, 0)
+            return BulkResult(attempted, 0, 0, failed)
         _refuse_shared_folders(new, read_artifacts(spark, root).where(F.col("dataset") == dataset))
         total = 0
         # One pass for each layout of partitions, which are settings of a dataset: mostly one.
         for row in new.groupBy(_layout(F.col("partition")).alias("layout")).agg(F.min("partition").alias("partition")).collect():
             chosen = new.where(_layout(F.col("partition")) == row.layout)
             total += _write_layout(chosen, rows, base, dataset, folder_columns(row.partition))
-        return BulkResult(attempted, added, total)
+        return BulkResult(attempted, added, total, failed)
     finally:
         new.unpersist()
 
@@ -258,8 +268,9 @@ def write_flags(artifacts: DataFrame, root: str) -> int:
 # ------------------------------------------------------------------- manifests
 
 
-def _write_lines(lines: DataFrame, root: str, dataset: str) -> None:
-    lines.write.mode("overwrite").text(f"{root.rstrip('/')}/{CATALOG_DIR}/{dataset}.json")
+def _known(spark: SparkSession, root: str, dataset: str) -> list[commits.Generation]:
+    """The generations that a manifest derived from now on takes the place of."""
+    return commits.generations(spark, manifest_log.log_path(root, dataset))
 
 
 def _schema_map(spark: SparkSession, root: str, dataset: str) -> dict[str, str]:
@@ -279,36 +290,32 @@ def _snapshot_types(dataset: str) -> dict[str, str]:
 
 def write_snapshot_manifest(spark: SparkSession, root: str, dataset: str, now: Column) -> None:
     """Derive and publish the manifest of an event or odds archive."""
+    known = _known(spark, root, dataset)
     archive = read_archive(spark, root, dataset)
     entries = manifest_partitions(partition_stats(archive), partition_key(dataset), now)
     lines = manifest_lines(entries, _snapshot_types(dataset), dataset, "event_ts", NATURAL_KEY, now)
-    _write_lines(lines, root, dataset)
+    manifest_log.replace_entries(lines, root, dataset, known)
 
 
 def refresh_snapshot_manifest(spark: SparkSession, root: str, dataset: str, touched: DataFrame, now: Column) -> None:
-    """Replace the manifest entries of the partitions that a write touched; the others stay as they are.
+    """Renew the manifest entries of the partitions that a write touched; the others stay as they are.
 
-    Only the touched partitions are read.  Without a manifest all of it is derived.
+    Only the touched partitions are read, and only their entries are written.  Without a manifest all
+    of it is derived.
     """
-    path = f"{root.rstrip('/')}/{CATALOG_DIR}/{dataset}.json"
-    if not path_exists(spark, path):
+    if not _known(spark, root, dataset):
         write_snapshot_manifest(spark, root, dataset, now)
         return
     archive = read_archive(spark, root, dataset).where(near_partitions(touched))
     fresh = archive.join(touched.select(*PARTITION_COLUMNS), PARTITION_COLUMNS, "left_semi")
     entries = manifest_partitions(partition_stats(fresh), partition_key(dataset), now)
-    known = spark.read.text(path).select("value", F.map_keys(F.from_json("value", "partitions map<string,string>")["partitions"])[0].alias("partition"))
-    replaced = touched.select(partition_key(dataset).alias("partition"))
-    kept = known.join(replaced, "partition", "left_anti").select("value")
     lines = manifest_lines(entries, _snapshot_types(dataset), dataset, "event_ts", NATURAL_KEY, now)
-    # The new manifest is complete before the old one is replaced by it.
-    staged = scratch_path(spark, "manifest")
-    kept.unionByName(lines).write.text(staged)
-    _write_lines(spark.read.text(staged), root, dataset)
+    manifest_log.append_entries(lines, root, dataset)
 
 
 def write_bulk_manifest(spark: SparkSession, root: str, dataset: str, now: Column) -> None:
     """Derive and publish the manifest of an imported dataset from its records and data."""
+    known = _known(spark, root, dataset)
     records = current_artifacts(read_artifacts(spark, root).where(F.col("dataset") == dataset))
     entries = records.select(
         F.col("data_file").alias("partition"),
@@ -322,7 +329,7 @@ def write_bulk_manifest(spark: SparkSession, root: str, dataset: str, now: Colum
     lines = manifest_lines(
         entries, columns, dataset, "source_fetched_at", BULK_KEY, now, F.col("artifact")
     )
-    _write_lines(lines, root, dataset)
+    manifest_log.replace_entries(lines, root, dataset, known)
 
 
 def rebuild_catalogs(spark: SparkSession, root: str, now: Column) -> list[str]:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from tidelake.operators.manifest_log import read_entries
 from tidelake.operators.merge import add_partition_columns
 from tidelake.schemas import (
     ARTIFACT,
@@ -188,8 +189,12 @@ def read_provenance(spark: SparkSession, root: str) -> DataFrame:
 def read_manifest(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     """Manifest bodies of a dataset, one JSON object per row.
 
-    An absent, unreadable or non-object manifest gives no rows.
+    The log of entries counts; without one, a file or folder ``<dataset>.json`` as others leave it.  An
+    absent, unreadable or non-object manifest gives no rows.
     """
+    entries = read_entries(spark, root, dataset)
+    if entries is not None:
+        return entries.where(F.json_object_keys("body").isNotNull())
     path = f"{root.rstrip('/')}/{CATALOG_DIR}/{dataset}.json"
     if not path_exists(spark, path):
         return spark.createDataFrame([], "body string")

@@ -7,6 +7,7 @@ because a batch replayed after a failure finds its rows already stored.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -23,7 +24,8 @@ from tidelake.operators.normalize import NORMALIZERS, accepted, quarantine
 from tidelake.operators.quota import quota_admission
 from tidelake.operators.skew import join_by_keys
 from tidelake.schemas import EVENTS_DATASET, ODDS_DATASET
-from tidelake.sources.dumps import read_csv_source, read_json_list_source, read_parquet_source, read_zip_csv_source
+from tidelake.sources import commits
+from tidelake.sources.dumps import read_csv_source, read_json_list_source, read_parquet_source, read_zip_csv_source, zip_headers
 from tidelake.sources.envelopes import envelope_items, refused_envelopes, stream_landed
 from tidelake.sources.lake import digest_files
 
@@ -46,6 +48,20 @@ def _stream_id(spark: SparkSession) -> str:
     return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
+def _run_number(spark: SparkSession, path: str, number: int) -> int:
+    """A number that orders the runs of a job over restarts and new checkpoints.
+
+    It counts from the instant (microseconds) of the stream's first batch, which stays with the log, so a
+    replayed batch has its number again, and a stream begun later goes on behind all earlier ones.
+    """
+    stream = f"{path.rstrip('/')}/stream={_stream_id(spark)}"
+    begun = commits.commit_note(spark, stream)
+    if begun is None:
+        begun = str(spark.sql("SELECT unix_micros(current_timestamp())").first()[0])
+        commits.commit(spark, stream, begun)
+    return int(begun) + number
+
+
 def _log_outcome(spark: SparkSession, path: str, job: str, number: int, result: WriteResult, refused: int) -> None:
     """One run-log row for a batch; a replayed batch replaces its own."""
     if refused == 0:
@@ -54,7 +70,7 @@ def _log_outcome(spark: SparkSession, path: str, job: str, number: int, result:
         status = "partial" if result.received else "error"
     row = spark.range(1).select(
         F.lit(job).alias("job"),
-        F.lit(number).cast("bigint").alias("seq"),
+        F.lit(_run_number(spark, path, number)).cast("bigint").alias("seq"),
         F.current_timestamp().alias("ts"),
         F.lit(status).alias("status"),
         F.lit(result.received).cast("bigint").alias("fetched"),
@@ -67,6 +83,7 @@ def _log_outcome(spark: SparkSession, path: str, job: str, number: int, result:
 def _stream_archive(
     landed: DataFrame,
     provider: str,
+    unit: str | None,
     root: str,
     checkpoint: str,
     write: Callable,
@@ -76,7 +93,11 @@ def _stream_archive(
     run_log: str | None,
     every: str | None,
 ) -> StreamingQuery:
-    """Merge every batch, refresh the manifest entries of the partitions it touched, note its outcome."""
+    """Merge every batch, refresh the manifest entries of the partitions it touched, note its outcome.
+
+    The job in the run log is the provider and, where it has streams of several, the unit collected.
+    """
+    job = "-".join(["collect", provider, *([unit] if unit else [])])
 
     def each(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -99,7 +120,7 @@ def _stream_archive(
                     _refuse(every_reason, quarantine_path, number)
                 every_reason.unpersist()
             if run_log:
-                _log_outcome(spark, run_log, f"collect-{provider}", number, result, refused)
+                _log_outcome(spark, run_log, job, number, result, refused)
         finally:
             normalised.unpersist()
 
@@ -127,7 +148,7 @@ def stream_event_archive(
     constants = {"sport_code": F.lit(sport_code)} if sport_code else {}
     landed = stream_landed(spark, landing, per_line, files_per_batch)
     return _stream_archive(
-        landed, provider, root, checkpoint, write_event_archive, EVENTS_DATASET, constants, quarantine_path, run_log, every
+        landed, provider, sport_code, root, checkpoint, write_event_archive, EVENTS_DATASET, constants, quarantine_path, run_log, every
     )
 
 
@@ -147,7 +168,7 @@ def stream_odds_archive(
     landed = stream_landed(spark, landing, per_line, files_per_batch)
     constants = {"sport_key": F.lit(sport_key)}
     return _stream_archive(
-        landed, "odds", root, checkpoint, write_odds_archive, ODDS_DATASET, constants, quarantine_path, run_log, every
+        landed, "odds", sport_key, root, checkpoint, write_odds_archive, ODDS_DATASET, constants, quarantine_path, run_log, every
     )
 
 
@@ -180,11 +201,14 @@ def stream_bulk_import(
     every: str | None = None,
     files_per_batch: int = 200,
     file_format: str = "json",
+    quarantine_path: str | None = None,
 ) -> StreamingQuery:
     """Landed dumps (JSON lists, CSV, zipped CSV, Parquet) into immutable versions.
 
     A changed file becomes a new version.  The stream carries names only; tasks digest the
-    files in chunks, and the batch readers read them, at most ``files_per_batch`` at a time.
+    files in chunks, and the batch readers read them, at most ``files_per_batch`` at a time.  Archives
+    are unpacked to their end before anything is read from them; one that is refused or damaged leaves
+    no record, goes to ``quarantine_path`` with the reason, and is imported once landed repaired.
     """
     read = BULK_READERS[file_format]
     files = (
@@ -200,8 +224,11 @@ def stream_bulk_import(
         named = batch.select(F.col("path"), F.col("modificationTime").alias("fetched")).persist()
         try:
             paths = [row.path for row in named.select("path").orderBy("path").collect()]
+            refused = _refused_archives(own, paths, number, quarantine_path) if file_format == "zip" else []
+            paths = sorted(set(paths) - set(refused))
             if not paths:
                 return
+            named = named.where(~F.col("path").isin(refused)) if refused else named
             digests = digest_files(named.select("path")).persist()
             landed = named.join(digests, "path").select(
                 F.col("path").alias("source_path"), F.col("digest").alias("sha256"), "fetched"
@@ -233,6 +260,19 @@ def stream_bulk_import(
     return _start(files, each, checkpoint, every)
 
 
+def _refused_archives(spark: SparkSession, paths: list[str], number: int, quarantine_path: str | None) -> list[str]:
+    """Paths, as given, of the archives that cannot be read whole; their reasons go to the quarantine."""
+    plain = {re.sub("^file:/+", "file:/", path): path for path in paths}
+    bad = zip_headers(spark, paths, "*", whole=True).where(F.col("reason").isNotNull()).select("path", "reason").persist()
+    try:
+        found = [plain[re.sub("^file:/+", "file:/", row.path if "://" in row.path or row.path.startswith("file:") else f"file:{row.path}")] for row in bad.collect()]
+        if found and quarantine_path:
+            _refuse(bad, quarantine_path, number)
+        return found
+    finally:
+        bad.unpersist()
+
+
 def _daily_log(log: DataFrame, path: str, number: int) -> None:
     """Append a batch to a log kept by day, stream and batch; a replay replaces its own part."""
     part = f"{_stream_id(log.sparkSession)}-{number}"
@@ -242,13 +282,9 @@ def _daily_log(log: DataFrame, path: str, number: int) -> None:
 
 
 def _registries(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the registries written so far, in order."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(hadoop):
-        return []
-    names = [status.getPath().getName() for status in files.listStatus(hadoop)]
-    return sorted(int(name.partition("=")[2]) for name in names if name.startswith("version="))
+    """Numbers of the complete registries, in order; a torn one counts as none."""
+    names = [name for name in commits.child_folders(spark, path) if name.startswith("version=")]
+    return sorted(int(n.partition("=")[2]) for n in names if commits.commit_note(spark, f"{path}/{n}") is not None)
 
 
 def stream_job_health(
@@ -292,20 +328,17 @@ def stream_job_health(
                 newest = known.select("job", F.greatest("last_seq", "batch_seq").alias("last_seq"))
                 registry = join_by_keys(registry, newest, ["job"])
             written = versions[-1] + 1 if versions else 0
+            # A torn registry of an earlier attempt is overwritten, and none counts before its mark.
             registry.write.mode("overwrite").parquet(f"{health_path}/version={written}")
+            commits.commit(spark, f"{health_path}/version={written}")
             for old in versions[:-1]:
-                _forget(spark, f"{health_path}/version={old}")
+                commits.forget(spark, f"{health_path}/version={old}")
         finally:
             batch.unpersist()
 
     return _start(run_log, each, checkpoint, every)
 
 
-def _forget(spark: SparkSession, path: str) -> None:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
 def current_health(spark: SparkSession, health_path: str) -> DataFrame:
     """The newest registry written by ``stream_job_health``."""
     newest = _registries(spark, health_path)[-1]

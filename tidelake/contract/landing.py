@@ -25,12 +25,14 @@ from tidelake.operators import bulk_archive as ba
 from tidelake.operators import catalog as c
 from tidelake.operators import manifest_log
 from tidelake.operators import mirror as mi
+from tidelake.operators import transfer as tr
 from tidelake.operators.health import health_fold
 from tidelake.schemas import EVENT_SNAPSHOT, EVENTS_DATASET, ODDS_DATASET, ODDS_SNAPSHOT
 from tidelake.session import scratch_path
 from tidelake.sources import commits
 from tidelake.sources import dumps as du
 from tidelake.sources import lake
+from tidelake.sources.paths import write_in_task
 from tidelake.streaming import collect as st
 
 # -------------------------------------------------------------------- archives
@@ -229,8 +231,6 @@ def stream_run_history(spark, sf):
     "SELECT CAST(user_id AS VARCHAR) AS job, count(*) FILTER (event_type <> 'signup') AS runs, TIMESTAMP '2024-01-31' AS written_at FROM events GROUP BY user_id",
 )
 def write_health(spark, sf):
-    from tidelake.operators.health import health_fold
-
     path = scratch_path(spark, "health")
     ba.write_health(health_fold(v.runs(spark, sf)), path, v.now())
     return spark.read.parquet(path).select("job", "runs", "written_at")
@@ -471,6 +471,94 @@ def mirror_round_trip(spark, sf):
     )
 
 
+_SEGMENTS = """SELECT c_mktsegment AS segment, count(*) AS rows, row_number() OVER (ORDER BY c_mktsegment) % 3 AS turn
+    FROM customer GROUP BY c_mktsegment"""
+
+
+@query(
+    "prune_and_restore",
+    f"""SELECT segment, rows, 'present' AS imported, CASE turn WHEN 0 THEN 'present' ELSE 'pruned' END AS pruned,
+               CASE turn WHEN 0 THEN 'failed: digests differ' WHEN 1 THEN 'pruned: ' ELSE 'pruned: ' END AS pruning,
+               CASE turn WHEN 2 THEN 'failed: no copy in the mirror' WHEN 1 THEN 'restored: ' END AS restoring,
+               CASE turn WHEN 2 THEN 'pruned' ELSE 'present' END AS restored, rows AS readable
+        FROM ({_SEGMENTS})""",
+)
+def prune_and_restore(spark, sf):
+    """Dumps imported with their sources, mirrored, pruned and restored; one copy in three differs before the prune and one
+    is gone before the restore.  All audits find the flags that this lake's own records carry."""
+    base, dataset = scratch_path(spark, "sources"), "segments"
+    root, store = f"{base}/lake", f"{base}/mirror"
+    customers = v.table(spark, sf, "customer").select("c_mktsegment", "c_custkey", "c_name")
+    dump = customers.withColumn("segment", F.col("c_mktsegment")).repartition(8, "c_mktsegment")
+    dump.select("segment", "c_custkey", "c_name").write.partitionBy("segment").option("header", True).csv(f"{base}/landing")
+    landed = lake.digest_files(lake.scan_files(spark, f"{base}/landing").where(F.col("path").endswith(".csv"))).select(F.col("path").alias("source_path"), F.col("digest").alias("sha"))
+    name = F.element_at(F.split("source_path", "/"), -2)
+    files = landed.select(
+        F.col("source_path").alias("seq"), F.lit(dataset).alias("dataset"), name.alias("partition"),
+        F.col("sha").alias("source_sha256"), F.lit("").alias("source_url"), F.lit("text/csv").alias("source_media_type"),
+        F.concat(name, F.lit(".csv")).alias("source_filename"), F.lit("2024-01-31T00:00:00+00:00").alias("fetched_at"), F.lit("terms").alias("license_name"),
+        F.lit("").alias("license_url"), "source_path",
+    )
+    place = F.regexp_replace("source_path", "^file:/+", "file:/")
+    rows = du.read_csv_source(spark, f"{base}/landing").withColumn("_place", place)
+    known = landed.select(place.alias("_place"), F.col("source_path").alias("_path"), "sha")
+    rows = rows.join(known, "_place").withColumn("source_path", F.col("_path"))
+    rows = b.add_provenance(rows, F.col("sha"), F.col("source_row_number"), v.now()).drop("_place", "_path", "sha")
+    ba.write_bulk_version(files, rows, root, dataset, keep_sources=True)
+    segment = F.regexp_replace("partition", "^segment=", "")
+    number = {r.segment: n for n, r in enumerate(customers.select(F.col("c_mktsegment").alias("segment")).distinct().orderBy("segment").collect(), 1)}
+    turn = F.element_at(F.create_map(*[F.lit(x) for k, n in number.items() for x in (k, n % 3)]), segment)
+
+    def records() -> DataFrame:
+        return ba.current_artifacts(ba.read_artifacts(spark, root))
+
+    def states() -> DataFrame:
+        return written(mi.source_state(records(), lake.read_provenance(spark, root), lake.scan_inventory(spark, root)).select(segment.alias("segment"), "state"))
+
+    def written(df: DataFrame) -> DataFrame:
+        path = scratch_path(spark, "audit")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    imported = states()
+    held = written(lake.lake_inventory(spark, root))
+    written(tr.mirror_files(held, root, store))
+    # A copy that differs keeps its source from being pruned.
+    sources = records().select("source_file", turn.alias("turn"))
+    written(sources.where("turn = 0").select(F.col("source_file").alias("key")).mapInArrow(_spoiled(store), "key string"))
+    candidates = mi.prunable_files(held).select("key", "digest")
+    outcomes = written(tr.prune_sources(candidates, root, store))
+    ba.write_flags(written(mi.mark_pruned(records(), outcomes)), root)
+    pruned = states()
+    gone = sources.where("turn = 2").select(F.col("source_file").alias("key"))
+    mirror = lake.lake_inventory(spark, store).select("key", "digest", "rows").join(gone, "key", "left_anti")
+    plan = written(tr.restore_sources(mi.restore_plan(records(), written(mirror)), records(), root, store))
+    ba.write_flags(written(mi.clear_restored(records(), plan)), root)
+    restored = states()
+    said = lambda df, key: df.select(F.col(key).alias("source_file"), F.concat("status", F.lit(": "), F.regexp_replace("detail", ": .*", "")).alias("said"))
+    per = records().select("source_file", "rows", segment.alias("segment"))
+    stored = lake.read_bulk(spark, root, dataset).groupBy(F.col("part_segment").alias("segment")).agg(F.count("*").alias("readable"))
+    return (
+        per.join(said(outcomes, "key").withColumnRenamed("said", "pruning"), "source_file")
+        .join(said(plan, "source_file").withColumnRenamed("said", "restoring"), "source_file", "left")
+        .join(imported.withColumnRenamed("state", "imported"), "segment")
+        .join(pruned.withColumnRenamed("state", "pruned"), "segment")
+        .join(restored.withColumnRenamed("state", "restored"), "segment")
+        .join(stored, "segment")
+        .select("segment", "rows", "imported", "pruned", "pruning", "restoring", "restored", "readable")
+    )
+
+
+def _spoiled(store: str):
+    def spoil(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key in batch["key"].to_pylist():
+                write_in_task(f"{store}/{key}", b"something else")
+            yield batch
+
+    return spoil
+
+
 @query(
     "read_provenance",
     with_views("SELECT dataset, partition, source_sha256, rows, source_pruned FROM artifacts", "artifacts"),

@@ -24,10 +24,12 @@ from tidelake.operators.catalog import (
     partition_stats,
     schema_union,
 )
+from tidelake.operators.transfer import copy_files
 from tidelake.schemas import (
     ARTIFACT,
     BULK_KEY,
     CATALOG_DIR,
+    DATA_FILES,
     EVENT_SNAPSHOT,
     EVENTS_DATASET,
     NATURAL_KEY,
@@ -35,6 +37,7 @@ from tidelake.schemas import (
     ODDS_SNAPSHOT,
     PARTITION_COLUMNS,
     PROVENANCE_FILE,
+    SOURCE_FILE_PREFIX,
 )
 from tidelake.sources import commits
 from tidelake.sources.dumps import parquet_columns
@@ -96,7 +99,8 @@ def stored_folders(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     """(data_file): folders of a dataset, relative to the lake root, in which Parquet files lie."""
     if not path_exists(spark, archive_path(root, dataset)):
         return spark.createDataFrame([], "data_file string")
-    files = scan_files(spark, archive_path(root, dataset)).where(F.col("path").endswith(".parquet"))
+    name = F.element_at(F.split("path", "/"), -1)
+    files = scan_files(spark, archive_path(root, dataset)).where(name.endswith(".parquet") & ~name.startswith(SOURCE_FILE_PREFIX))
     return files.select(F.regexp_replace(relative_key(F.col("path"), root), "/[^/]*$", "").alias("data_file")).distinct()
 
 
@@ -129,7 +133,7 @@ def _refuse_shared_folders(new: DataFrame, records: DataFrame) -> None:
 
 
 def write_bulk_version(
-    files: DataFrame, rows: DataFrame, root: str, dataset: str, refused: DataFrame | None = None
+    files: DataFrame, rows: DataFrame, root: str, dataset: str, refused: DataFrame | None = None, keep_sources: bool = False
 ) -> BulkResult:
     """Import dump files as immutable versions below ``root/dataset``.
 
@@ -142,6 +146,10 @@ def write_bulk_version(
     ``refused`` (source_path) are not imported and get no record, so they are tried again; a file
     that was read and has no rows is recorded with none.
 
+    With ``keep_sources`` every file is copied, as it is, beside its rows (``source-<name>``), the digest
+    checked on the way; the record's ``source_file`` is then that key below the root, which the
+    audits of the mirror go by.
+
     Data lands before its record.  A run that dies in between leaves a version
     without a record; the next run writes exactly that version folder anew, so
     nothing is ever stored twice.
@@ -162,13 +170,30 @@ def write_bulk_version(
         # One pass for each layout of partitions, which are settings of a dataset: mostly one.
         for row in new.groupBy(_layout(F.col("partition")).alias("layout")).agg(F.min("partition").alias("partition")).collect():
             chosen = new.where(_layout(F.col("partition")) == row.layout)
-            total += _write_layout(chosen, rows, base, dataset, folder_columns(row.partition))
+            total += _write_layout(chosen, rows, base, dataset, folder_columns(row.partition), keep_sources)
         return BulkResult(attempted, added, total, failed)
     finally:
         new.unpersist()
 
 
-def _write_layout(new: DataFrame, rows: DataFrame, base: str, dataset: str, columns: Sequence[str]) -> int:
+def source_key(files: DataFrame, columns: Sequence[str]) -> Column:
+    """Key below the lake root of the copy of an imported file."""
+    return F.concat(version_folder(files, columns), F.lit(f"/{SOURCE_FILE_PREFIX}"), safe_component("source_filename"))
+
+
+def _copy_sources(new: DataFrame, base: str, columns: Sequence[str]) -> None:
+    key = source_key(new, columns)
+    target = F.concat(F.lit(f"{base}/"), key)
+    wanted = new.select(key.alias("key"), F.col("source_path").alias("path"), target.alias("target"), F.col("source_sha256").alias("digest"))
+    # Few tasks copy many files each otherwise: the list of files is short, the files are long.
+    bad = copy_files(wanted.repartition("key")).where(F.col("status") != "copied").first()
+    if bad:
+        raise VerificationError(f"{bad.key}: {bad.detail}")
+
+
+def _write_layout(
+    new: DataFrame, rows: DataFrame, base: str, dataset: str, columns: Sequence[str], keep_sources: bool
+) -> int:
     spark, path = new.sparkSession, archive_path(base, dataset)
     values = dict(zip(columns, _folder_values(F.col("partition"), len(columns)), strict=True))
     chosen = new.withColumns({**values, "version": version_of(F.col("source_sha256"))})
@@ -187,28 +212,31 @@ def _write_layout(new: DataFrame, rows: DataFrame, base: str, dataset: str, colu
     )
     announced = data.groupBy("source_path", *layout).agg(F.count("*").alias("rows")).persist()
     try:
-        stored = spark.read.schema(written.schema).option("pathGlobFilter", "*.parquet").parquet(path)
+        stored = spark.read.schema(written.schema).option("pathGlobFilter", DATA_FILES).parquet(path)
         again = stored.join(announced.select(*layout).distinct(), layout, "left_semi")
         if not row_count_mismatches(announced, again, layout).isEmpty():
             raise VerificationError(f"row counts of {dataset} differ after writing")
         total = announced.agg(F.sum("rows")).first()[0] or 0
+        if keep_sources:
+            _copy_sources(new, base, columns)
         # Last: once the records are written, asking for new artifacts finds none.
-        write_provenance(_records(new, announced, columns), base)
+        write_provenance(_records(new, announced, columns, keep_sources), base)
     finally:
         announced.unpersist()
     return total
 
 
-def _records(new: DataFrame, counted: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Provenance of imported files; ``data_file`` is the folder of the rows, ``source_file`` where the
-    file was read from.  A file without rows counts zero."""
+def _records(new: DataFrame, counted: DataFrame, columns: Sequence[str], keep_sources: bool) -> DataFrame:
+    """Provenance of imported files; ``data_file`` is the folder of the rows, ``source_file`` the key of the
+    copy or, without one, where the file was read from.  A file without rows counts zero."""
+    source = source_key(new, columns) if keep_sources else F.col("source_path")
     return new.join(counted.select("source_path", "rows"), "source_path", "left").select(
         "dataset",
         "partition",
         "source_url",
         "source_sha256",
         "source_media_type",
-        F.col("source_path").alias("source_file"),
+        source.alias("source_file"),
         version_folder(new, columns).alias("data_file"),
         F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"),
         "fetched_at",
@@ -278,7 +306,7 @@ def _schema_map(spark: SparkSession, root: str, dataset: str) -> dict[str, str]:
 
     Footers are read in tasks; what returns is one row for each column.
     """
-    union = schema_union(parquet_columns(spark, archive_path(root, dataset)))
+    union = schema_union(parquet_columns(spark, archive_path(root, dataset), DATA_FILES))
     return {row.name: row.type for row in union.orderBy("name").collect()}
 
 

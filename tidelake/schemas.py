@@ -13,6 +13,8 @@ CATALOG_DIR = "_catalog"
 STAGING_DIR = "_staging"
 PROVENANCE_FILE = "provenance.json"
 SOURCE_FILE_PREFIX = "source-"
+#: Data files of imported versions; the copy of a source may be a Parquet file too.
+DATA_FILES = "{part-,data}*.parquet"
 
 NATURAL_KEY = ["source", "external_id", "payload_hash"]
 BULK_KEY = ["source_sha256", "source_row_number"]

@@ -17,6 +17,7 @@ from tidelake.operators.merge import add_partition_columns
 from tidelake.schemas import (
     ARTIFACT,
     CATALOG_DIR,
+    DATA_FILES,
     EVENT_SNAPSHOT,
     EVENTS_DATASET,
     HEALTH_ENTRY,
@@ -89,7 +90,7 @@ def read_bulk(spark: SparkSession, root: str, dataset: str) -> DataFrame:
     digits only would turn into numbers.
     """
     path = archive_path(root, dataset)
-    return united_parquet(spark, [path], fixed=is_layout)
+    return united_parquet(spark, [path], fixed=is_layout, glob=DATA_FILES)
 
 
 def relative_key(path: Column, root: str) -> Column:

@@ -202,6 +202,7 @@ def stream_bulk_import(
     files_per_batch: int = 200,
     file_format: str = "json",
     quarantine_path: str | None = None,
+    keep_sources: bool = True,
 ) -> StreamingQuery:
     """Landed dumps (JSON lists, CSV, zipped CSV, Parquet) into immutable versions.
 
@@ -209,6 +210,7 @@ def stream_bulk_import(
     files in chunks, and the batch readers read them, at most ``files_per_batch`` at a time.  Archives
     are unpacked to their end before anything is read from them; one that is refused or damaged leaves
     no record, goes to ``quarantine_path`` with the reason, and is imported once landed repaired.
+    ``keep_sources`` keeps a copy of every imported file beside its rows.
     """
     read = BULK_READERS[file_format]
     files = (
@@ -252,7 +254,7 @@ def stream_bulk_import(
             rows = read(own, paths, id_column).withColumn("_place", place).join(F.broadcast(known), "_place")
             rows = rows.withColumn("source_path", F.col("_path")).drop("_place", "_path")
             rows = add_provenance(rows, F.col("sha256"), F.col("source_row_number"), F.col("fetched"))
-            write_bulk_version(described, rows.drop("sha256", "fetched"), root, dataset)
+            write_bulk_version(described, rows.drop("sha256", "fetched"), root, dataset, keep_sources=keep_sources)
             digests.unpersist()
         finally:
             named.unpersist()

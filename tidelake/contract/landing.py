@@ -34,6 +34,7 @@ from tidelake.sources import dumps as du
 from tidelake.sources import lake
 from tidelake.sources.paths import write_in_task
 from tidelake.streaming import collect as st
+from tidelake.streaming import health_state as hs
 
 # -------------------------------------------------------------------- archives
 
@@ -783,6 +784,22 @@ def stream_job_health(spark, sf):
     return st.current_health(spark, f"{base}/health").select(*_HEALTH_COLUMNS)
 
 
+@query("stream_health_state", _health_stream_sql())
+def stream_health_state(spark, sf):
+    """The earliest runs as a stored registry, the others streamed out of order into keyed state."""
+    base = scratch_path(spark, "stream")
+    runs = v.runs(spark, sf)
+    cut = runs.agg(F.percentile("seq", 0.25).cast("bigint")).first()[0]
+    early, rest = runs.where(F.col("seq") < cut), runs.where(F.col("seq") >= cut)
+    late = F.col("seq") % 5 == 0
+    for name, rows in (("a", rest.where(~late)), ("b", rest.where(late))):
+        rows.repartitionByRange(2, "seq").write.parquet(f"{base}/in/{name}")
+    for _ in range(2):
+        log = spark.readStream.schema(runs.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/in/*")
+        hs.stream_health_state(log, f"{base}/entries", f"{base}/checkpoint", health_fold(early)).awaitTermination()
+    return hs.current_states(spark.read.parquet(f"{base}/entries")).select(*_HEALTH_COLUMNS)
+
+
 @query(
     "stream_quota",
     """SELECT event_type AS provider, event_id AS seq, CASE WHEN n <= 60 THEN n END AS claim, n <= 60 AS admitted

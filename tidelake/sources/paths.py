@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
+from urllib.parse import quote
 
 import pyarrow.fs
 
@@ -15,7 +16,8 @@ CHUNK = 8 << 20
 def _located(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
     """File system and path of a path as Spark spells it; local ones have a single slash or no scheme."""
     spelled = re.sub(r"^file:/(?!/)", "file:///", path if "://" in path or path.startswith("file:") else f"file://{path}")
-    return pyarrow.fs.FileSystem.from_uri(spelled)
+    # Blanks and letters beyond ASCII are escaped; what is escaped already stays.
+    return pyarrow.fs.FileSystem.from_uri(quote(spelled, safe="/:%?#[]@!$&'()*+,;=~"))
 
 
 def open_in_task(path: str):

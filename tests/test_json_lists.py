@@ -6,6 +6,7 @@ import random
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tidelake.sources import dumps as du
 from tidelake.sources import json_lists as jl
@@ -93,6 +94,21 @@ def test_files_are_read_by_many_tasks(spark, tmp_path):
         assert [r.external_id for r in own] == [str(x["id"]) for x in listed]
 
 
+def test_ranges_are_not_gathered_in_one_task(spark, tmp_path):
+    """Ranges are few bytes, so adaptive execution would gather them; each stands for much work."""
+    (tmp_path / "a.json").write_text(json.dumps(items(1, 300)))
+    (tmp_path / "a.csv").write_text("k\n" + "".join(f"{k}\n" for k in range(3000)))
+    listed = jl.read_members(spark, str(tmp_path / "a.json"), 500)
+    assert listed.select(F.spark_partition_id()).distinct().count() == 4
+    given = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        rows = du.read_csv_source(spark, str(tmp_path / "a.csv"))
+        assert rows.select(F.spark_partition_id()).distinct().count() == 4 and rows.count() == 3000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", given)
+
+
 def test_members_beyond_a_block_and_broken_members(spark, tmp_path, monkeypatch):
     big = [{"id": "x", "v": "ü{" * 300_000}, {"v": 1}]
     (tmp_path / "a.json").write_text(json.dumps(big, ensure_ascii=False))

@@ -39,6 +39,7 @@ from tidelake.schemas import (
     PROVENANCE_FILE,
     SOURCE_FILE_PREFIX,
 )
+from tidelake.session import spread
 from tidelake.sources import commits
 from tidelake.sources.dumps import parquet_columns
 from tidelake.sources.lake import archive_path, path_exists, read_archive, relative_key, scan_files
@@ -186,7 +187,7 @@ def _copy_sources(new: DataFrame, base: str, columns: Sequence[str]) -> None:
     target = F.concat(F.lit(f"{base}/"), key)
     wanted = new.select(key.alias("key"), F.col("source_path").alias("path"), target.alias("target"), F.col("source_sha256").alias("digest"))
     # Few tasks copy many files each otherwise: the list of files is short, the files are long.
-    bad = copy_files(wanted.repartition("key")).where(F.col("status") != "copied").first()
+    bad = copy_files(spread(wanted)).where(F.col("status") != "copied").first()
     if bad:
         raise VerificationError(f"{bad.key}: {bad.detail}")
 

@@ -6,7 +6,7 @@ import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def pin_utc(spark: SparkSession) -> SparkSession:
@@ -42,3 +42,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     files.deleteOnExit(hadoop)
     files.delete(hadoop, False)
     return path
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Small rows that each stand for much work (files, byte ranges), dealt evenly over all shuffle partitions.
+
+    With the number given, adaptive execution does not gather them in one task for being few bytes.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))

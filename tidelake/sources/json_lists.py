@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelake.session import spread
 from tidelake.sources.paths import open_in_task
 
 #: Bytes scanned at once, and about as many handed on at once.
@@ -236,8 +237,8 @@ def read_members(spark: SparkSession, path: str | Sequence[str], split_bytes: in
                     if held:
                         yield _batch(r["source_path"], number, held)
 
-    entered = ranges.repartition("path", "begin").mapInPandas(measured, _MEASURED).groupBy("path").applyInPandas(_placed, _PLACED)
-    owners = entered.where("n > 0 OR begin = 0").repartition("path", "begin")
+    entered = spread(ranges).mapInPandas(measured, _MEASURED).groupBy("path").applyInPandas(_placed, _PLACED)
+    owners = spread(entered.where("n > 0 OR begin = 0"))
     return owners.mapInArrow(emitted, "source_path string, position bigint, payload string")
 
 

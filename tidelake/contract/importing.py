@@ -8,6 +8,7 @@ from tidelake.contract import views as v
 from tidelake.contract.registry import query
 from tidelake.contract.views import with_views
 from tidelake.operators import bulk as b
+from tidelake.plans import asof
 from tidelake.plans import reads as r
 from tidelake.plans import worklists as w
 from tidelake.schemas import FOOTBALL_SEASON_URL, OPEN_DATA_URL, PLAY_BY_PLAY_URL, TEAM_GAMES_URL
@@ -268,3 +269,27 @@ def odds_as_of(spark, sf):
         F.col("quote_id").alias("payload_hash"), "price",
     )
     return r.odds_as_of(odds, ["source", "external_id"])
+
+
+@query(
+    "as_of_merge",
+    with_views(
+        """SELECT CAST(o_custkey AS VARCHAR) AS external_id, o_orderkey AS seq, o_orderdate AS event_ts,
+                  k.quote_id, k.price, k.observed_at
+           FROM orders o ASOF LEFT JOIN (
+             SELECT source, observed_at, quote_id, price, row_number() OVER (
+                      PARTITION BY source, observed_at ORDER BY quote_id DESC, price DESC) AS rn
+             FROM quotes QUALIFY rn = 1) k
+           ON CAST(o_custkey AS VARCHAR) = k.source AND o.o_orderdate >= k.observed_at""",
+        "quotes",
+    ),
+)
+def as_of_merge(spark, sf):
+    """Orders as events, each with the last quote made under its number by then."""
+    orders = v.table(spark, sf, "orders").select(
+        F.col("o_custkey").cast("string").alias("external_id"), F.col("o_orderkey").alias("seq"),
+        v.instant("o_orderdate").alias("event_ts"),
+    )
+    quotes = v.quotes(spark, sf).select(F.col("source").alias("external_id"), "observed_at", "quote_id", "price")
+    taken = ["quote_id", "price", "observed_at"]
+    return asof.as_of_merge(orders, quotes, ["external_id"], "event_ts", "observed_at", ["quote_id", "price"], taken)

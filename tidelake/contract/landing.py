@@ -31,10 +31,12 @@ from tidelake.schemas import EVENT_SNAPSHOT, EVENTS_DATASET, ODDS_DATASET, ODDS_
 from tidelake.session import scratch_path
 from tidelake.sources import commits
 from tidelake.sources import dumps as du
+from tidelake.sources import footers
 from tidelake.sources import lake
 from tidelake.sources.paths import write_in_task
 from tidelake.streaming import collect as st
 from tidelake.streaming import health_state as hs
+from tidelake.streaming import usage as us
 
 # -------------------------------------------------------------------- archives
 
@@ -90,6 +92,26 @@ def write_event_archive_counts(spark, sf):
     return spark.createDataFrame(rows, "received bigint, added bigint, run int")
 
 
+@query(
+    "read_archive_footers",
+    with_views(
+        """SELECT source_slug, sport_slug, CAST(event_ts AS DATE) AS event_date, count(*) AS rows,
+                  min(event_ts) AS min_ts, max(event_ts) AS max_ts
+           FROM (SELECT source_slug, sport_slug, date_trunc('month', event_ts) + to_hours(hour(observed_at)) AS event_ts,
+                        row_number() OVER (PARTITION BY source, sport_slug, external_id, payload_hash, date_trunc('month', event_ts) ORDER BY seq) AS rn
+                 FROM observations) WHERE rn = 1 GROUP BY ALL""",
+        "observations",
+    ),
+)
+def read_archive_footers(spark, sf):
+    """Rows and time spans of a written archive's partitions, as its files' footers give them."""
+    hours = F.make_dt_interval(F.lit(0), F.hour("observed_at"))
+    snapshots = _snapshots(spark, sf).withColumn("event_ts", F.col("event_ts") + hours)
+    root = scratch_path(spark, "events")
+    ar.write_event_archive(snapshots, root, ["seq"])
+    return footers.footer_stats(spark, root, EVENTS_DATASET)
+
+
 @query("compact_archive", with_views(f"SELECT *, true AS fewer FROM ({_STORED})", "observations"))
 def compact_archive(spark, sf):
     """An archive written in two runs holds the same rows in fewer files once its partitions are compacted."""
@@ -812,3 +834,24 @@ def stream_quota(spark, sf):
     stream = spark.readStream.schema(requests.schema).option("maxFilesPerTrigger", 2).parquet(f"{base}/in")
     st.stream_quota(stream, f"{base}/log", f"{base}/admission", 60, f"{base}/checkpoint").awaitTermination()
     return spark.read.parquet(f"{base}/admission").select("provider", "seq", "claim", "admitted")
+
+
+@query(
+    "stream_usage",
+    """SELECT provider, day, n AS requests,
+              CASE WHEN day + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 10 DAY THEN n END AS published
+       FROM (SELECT event_type AS provider, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL)""",
+)
+def stream_usage(spark, sf):
+    """Requests land in order of time, a quarter at a time; the view has the days ten days back or more."""
+    base = scratch_path(spark, "stream")
+    requests = v.requests(spark, sf)
+    first, last = requests.agg(F.min("ts"), F.max("ts")).first()
+    ends = [first + (last - first) * i / 4 for i in range(1, 4)]
+    for after, end in zip([None, *ends], [*ends, None], strict=True):
+        later = F.lit(True) if after is None else F.col("ts") > F.lit(after)
+        earlier = F.lit(True) if end is None else F.col("ts") <= F.lit(end)
+        requests.where(later & earlier).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(requests.schema).option("maxFilesPerTrigger", 4).parquet(f"{base}/in")
+    us.stream_usage(stream, f"{base}/usage", f"{base}/checkpoint", "10 days").awaitTermination()
+    return us.usage_so_far(spark.read.parquet(f"{base}/usage"), requests)

@@ -25,7 +25,7 @@ from tidelake.schemas import (
     ODDS_SNAPSHOT,
     PARTITION_COLUMNS,
 )
-from tidelake.session import scratch_path
+from tidelake.session import pin_utc, scratch_path
 from tidelake.sources.lake import archive_path, path_exists, read_archive
 
 
@@ -87,7 +87,7 @@ def _write(
 ) -> WriteResult:
     """One copy of the first arrivals is kept, so that parsing and hashing run once; besides it only
     keys travel.  Lost blocks are recomputed."""
-    spark = snapshots.sparkSession
+    spark = pin_utc(snapshots.sparkSession)
     path = archive_path(root, dataset)
     columns = [*shape.fieldNames(), *PARTITION_COLUMNS]
     arrived = Observation()

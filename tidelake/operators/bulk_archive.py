@@ -21,7 +21,6 @@ from tidelake.operators.catalog import (
     manifest_lines,
     manifest_partitions,
     partition_key,
-    partition_stats,
     schema_union,
 )
 from tidelake.operators.transfer import copy_files
@@ -42,7 +41,8 @@ from tidelake.schemas import (
 from tidelake.session import spread
 from tidelake.sources import commits
 from tidelake.sources.dumps import parquet_columns
-from tidelake.sources.lake import archive_path, path_exists, read_archive, relative_key, scan_files
+from tidelake.sources.footers import footer_stats
+from tidelake.sources.lake import archive_path, path_exists, relative_key, scan_files
 from tidelake.sources.paths import write_in_task
 
 ARTIFACTS_TABLE = f"{CATALOG_DIR}/artifacts"
@@ -318,10 +318,9 @@ def _snapshot_types(dataset: str) -> dict[str, str]:
 
 
 def write_snapshot_manifest(spark: SparkSession, root: str, dataset: str, now: Column) -> None:
-    """Derive and publish the manifest of an event or odds archive."""
+    """Derive and publish the manifest of an event or odds archive, from the footers of its files."""
     known = _known(spark, root, dataset)
-    archive = read_archive(spark, root, dataset)
-    entries = manifest_partitions(partition_stats(archive), partition_key(dataset), now)
+    entries = manifest_partitions(footer_stats(spark, root, dataset), partition_key(dataset), now)
     lines = manifest_lines(entries, _snapshot_types(dataset), dataset, "event_ts", NATURAL_KEY, now)
     manifest_log.replace_entries(lines, root, dataset, known)
 
@@ -329,15 +328,15 @@ def write_snapshot_manifest(spark: SparkSession, root: str, dataset: str, now: C
 def refresh_snapshot_manifest(spark: SparkSession, root: str, dataset: str, touched: DataFrame, now: Column) -> None:
     """Renew the manifest entries of the partitions that a write touched; the others stay as they are.
 
-    Only the touched partitions are read, and only their entries are written.  Without a manifest all
-    of it is derived.
+    Only the footers of touched partitions are read, and only their entries are written.  Without a
+    manifest all of it is derived.
     """
     if not _known(spark, root, dataset):
         write_snapshot_manifest(spark, root, dataset, now)
         return
-    archive = read_archive(spark, root, dataset).where(near_partitions(touched))
-    fresh = archive.join(touched.select(*PARTITION_COLUMNS), PARTITION_COLUMNS, "left_semi")
-    entries = manifest_partitions(partition_stats(fresh), partition_key(dataset), now)
+    near = footer_stats(spark, root, dataset, where=near_partitions(touched))
+    fresh = near.join(touched.select(*PARTITION_COLUMNS), PARTITION_COLUMNS, "left_semi")
+    entries = manifest_partitions(fresh, partition_key(dataset), now)
     lines = manifest_lines(entries, _snapshot_types(dataset), dataset, "event_ts", NATURAL_KEY, now)
     manifest_log.append_entries(lines, root, dataset)
 

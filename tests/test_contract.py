@@ -9,7 +9,7 @@ from tidelake.contract import load_queries
 
 QUERIES, ORACLES = load_queries()
 # Queries that write files or run streams while they are built.
-WRITERS = {n for n in QUERIES if n.startswith(("write_", "stream_", "read_archive", "read_csv", "read_zip", "read_prov", "read_parquet_source_drift", "bulk_round", "collect_and", "mirror_round", "compact"))}
+WRITERS = {n for n in QUERIES if n.startswith(("write_", "stream_", "read_archive", "read_csv", "read_zip", "read_prov", "read_parquet_source_drift", "bulk_round", "collect_and", "mirror_round", "compact", "ledger"))}
 
 
 @pytest.fixture(scope="module")

@@ -33,6 +33,7 @@ from tidelake.sources import commits
 from tidelake.sources import dumps as du
 from tidelake.sources import footers
 from tidelake.sources import lake
+from tidelake.sources import ledger
 from tidelake.sources.paths import write_in_task
 from tidelake.streaming import collect as st
 from tidelake.streaming import health_state as hs
@@ -494,6 +495,28 @@ def mirror_round_trip(spark, sf):
     )
 
 
+@query(
+    "ledger_inventory",
+    """SELECT lang, count(*) + CASE WHEN n % 2 = 1 THEN count(*) ELSE 0 END AS rows, n % 2 = 1 AS reread, false AS reread_later
+       FROM documents JOIN (SELECT lang, row_number() OVER (ORDER BY lang) AS n FROM documents GROUP BY lang) USING (lang)
+       GROUP BY lang, n""",
+)
+def ledger_inventory(spark, sf):
+    """A lake of the documents, digested; the files of every other language are written anew, twice as long, and digested again."""
+    root = scratch_path(spark, "digests")
+    d = v.table(spark, sf, "documents").select("doc_id", "lang", "text")
+    names = [row.lang for row in d.select("lang").distinct().orderBy("lang").collect()]
+    odd = F.col("lang").isin(names[::2])
+    for rows in (d, d.where(odd).unionByName(d.where(odd))):
+        rows.hint("rebalance", "lang").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("lang").parquet(f"{root}/docs")
+        found = ledger.ledger_inventory(spark, root, still_seconds=0)
+    again = ledger.ledger_inventory(spark, root, still_seconds=0).select("key", F.col("reread").alias("later"))
+    lang = F.regexp_extract("key", "lang=([^/]*)/", 1).alias("lang")
+    return found.where("is_parquet").join(again, "key").groupBy(lang).agg(
+        F.sum("rows").alias("rows"), F.bool_or("reread").alias("reread"), F.bool_or("later").alias("reread_later")
+    )
+
+
 _SEGMENTS = """SELECT c_mktsegment AS segment, count(*) AS rows, row_number() OVER (ORDER BY c_mktsegment) % 3 AS turn
     FROM customer GROUP BY c_mktsegment"""
 

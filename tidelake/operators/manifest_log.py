@@ -59,7 +59,7 @@ def _write(lines: DataFrame, path: str, name: str, replaces: list[str]) -> None:
     commits.commit(spark, f"{path}/{name}", "\n".join(replaces))
 
 
-def _named(kind: str, number: int) -> str:
+def generation_name(kind: str, number: int) -> str:
     return f"{kind}-{number:012d}-{uuid.uuid4().hex[:12]}"
 
 
@@ -69,7 +69,7 @@ def append_entries(lines: DataFrame, root: str, dataset: str, fold_after: int =
     Writers need not wait for one another: each adds a generation of its own.
     """
     spark, path = lines.sparkSession, log_path(root, dataset)
-    _write(lines, path, _named("part", commits.next_number(spark, path)), [])
+    _write(lines, path, generation_name("part", commits.next_number(spark, path)), [])
     held = commits.generations(spark, path)
     if len(held) > fold_after:
         fold(spark, root, dataset, held)
@@ -78,8 +78,8 @@ def append_entries(lines: DataFrame, root: str, dataset: str, fold_after: int =
 def replace_entries(lines: DataFrame, root: str, dataset: str, known: list[commits.Generation]) -> None:
     """Publish a whole manifest in place of the generations ``known`` before it was derived."""
     spark, path = lines.sparkSession, log_path(root, dataset)
-    _write(lines, path, _named("base", commits.next_number(spark, path)), [g.name for g in known])
-    _sweep(spark, path)
+    _write(lines, path, generation_name("base", commits.next_number(spark, path)), [g.name for g in known])
+    sweep(spark, path)
 
 
 def fold(spark: SparkSession, root: str, dataset: str, held: list[commits.Generation] | None = None) -> None:
@@ -89,11 +89,11 @@ def fold(spark: SparkSession, root: str, dataset: str, held: list[commits.Genera
     if len(held) < 2:
         return
     # It takes the number of the newest generation it holds: one that comes meanwhile has a later entry.
-    _write(_newest(spark, path, held).select(F.col("body").alias("value")), path, _named("base", held[-1].number), [g.name for g in held])
-    _sweep(spark, path)
+    _write(_newest(spark, path, held).select(F.col("body").alias("value")), path, generation_name("base", held[-1].number), [g.name for g in held])
+    sweep(spark, path)
 
 
-def _sweep(spark: SparkSession, path: str) -> None:
+def sweep(spark: SparkSession, path: str) -> None:
     """Delete what the base before the newest one stood for: readers may still be at the generations of that one.
 
     A base keeps naming what it replaced, also after a run died between its mark and this.

@@ -64,6 +64,16 @@ def _log_softmax(logits: np.ndarray) -> np.ndarray:
     return logits - np.log(np.exp(logits) @ np.ones((logits.shape[-1], 1), logits.dtype))
 
 
+def _softmax(logits: np.ndarray, at: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(probabilities, log probabilities at the given places) of rows of logits, by one pass of exp; overwrites the logits."""
+    np.minimum(logits, logits.dtype.type(80), out=logits)
+    chosen = logits[at]
+    np.exp(logits, out=logits)
+    total = logits @ np.ones((logits.shape[-1], 1), logits.dtype)
+    logits /= total
+    return logits, chosen - np.log(total[:, 0])
+
+
 def log_shares(weights: Weights, states: np.ndarray) -> np.ndarray:
     """Log probabilities of all classes after each state."""
     return _log_softmax(states @ weights["out"] + weights["bias"])
@@ -91,10 +101,9 @@ def _slot_slopes(weights: Weights, states: np.ndarray, targets: np.ndarray, slot
     total, below = 0.0, np.zeros_like(states)
     for c, mine in _by_class(targets, len(weights["bias"])):
         held = states[mine]
-        logs = _log_softmax(held @ weights["word"][c] + weights["word_bias"][c])
         at = (np.arange(len(mine)), slots[mine])
-        total += float(logs[at].sum())
-        slope = np.exp(logs)
+        slope, logs = _softmax(held @ weights["word"][c] + weights["word_bias"][c], at)
+        total += float(logs.sum())
         slope[at] -= 1
         slope *= scale
         grads["word"][c] = held.T @ slope
@@ -120,18 +129,16 @@ def gradients(
         state, kept = step(weights, inputs[t], state)
         states[t] = state
         saved.append(kept)
-    logs = log_shares(weights, states)
     count = max(int(live.sum()), 1)
-    picked = np.take_along_axis(logs, targets[:, :, None], axis=2)[:, :, 0]
-    loss = -float(picked[live].sum()) / count
-    slope = np.exp(logs)
-    np.put_along_axis(slope, targets[:, :, None], np.take_along_axis(slope, targets[:, :, None], 2) - 1, 2)
-    slope *= live[:, :, None] / np.float32(count)
+    at = np.arange(targets.size), targets.reshape(-1)
+    flat, logs = _softmax(states.reshape(-1, hidden) @ weights["out"] + weights["bias"], at)
+    loss = -float(logs[live.reshape(-1)].sum()) / count
+    flat[at] -= 1
+    flat *= live.reshape(-1, 1) / np.float32(count)
     grads = {name: np.zeros_like(w) for name, w in weights.items()}
-    flat = slope.reshape(-1, slope.shape[2])
     grads["out"] = states.reshape(-1, hidden).T @ flat
     grads["bias"] = flat.sum(axis=0)
-    below = slope @ weights["out"].T
+    below = (flat @ weights["out"].T).reshape(steps, lanes, hidden)
     if slots is not None:
         there = np.flatnonzero(live.reshape(-1))
         own = states.reshape(-1, hidden)[there]

@@ -25,8 +25,9 @@ CLASSES, SLOTS = 48, 40
 RAREST = 100_000
 #: Text that one group of documents holds on average.
 GROUP_BYTES = 8_000_000
-#: Of the training documents, the share that moves the network's weights in each round.
-TRAIN_SHARE, ROUNDS = 1 / 8, 2
+#: Rounds of training, and the share of the training documents that each takes: another one each time, together all.
+ROUNDS = 2
+TRAIN_SHARE = 1 / ROUNDS
 #: Tokens after which a long document's state starts anew in training, so that lanes end together; scoring carries it on.
 PIECE = 4096
 ADDED = 0.1  # to every count, fixed
@@ -156,9 +157,9 @@ def score_texts(
     Learns from the rows outside fold 0 (crc32 of the id modulo ``folds``).  Documents are grouped by
     a hash of id and text; a group folds its words first and sends them to buckets by hash, where
     the counts of all training texts meet and go back to the groups that asked.  The network is
-    trained on ``train_share`` of the training documents in each round, another share each time, drawn
-    by id and text: every ``GROUP_BYTES`` of an input split's share start from the same weights,
-    and the weights they reach are averaged by their tokens.  Of each class the ``slots`` commonest words
+    trained on every training document: each round takes ``train_share`` of them, another share each time, told
+    apart by id and text, and rounds too few for all are refused.  In a round every ``GROUP_BYTES`` of an input
+    split's share start from the same weights, and the weights they reach are averaged by their tokens.  Of each class the ``slots`` commonest words
     have outputs of their own; a word unseen in training is of the rest, with a count of ``ADDED``.
 
     * A null or empty text is its end alone.
@@ -286,6 +287,8 @@ def pieces_of(offsets: np.ndarray, most: int = PIECE) -> np.ndarray:
 def trained(rows: DataFrame, shares: Shares, share: float, rounds: int) -> gru.Weights:
     """Weights after some rounds of training on every input split and averaging, weighted by tokens.
 
+    Each round takes another share of the rows; every row moves the weights.
+
     What returns is one row for each weight and split, folded on the way; its number on the driver is that
     of the weights.
     """
@@ -293,6 +296,8 @@ def trained(rows: DataFrame, shares: Shares, share: float, rounds: int) -> gru.W
     weights = gru.initial(len(shares.log_share), shares.log_share, slot_share=shares.slot_share)
     names = list(weights)
     parts = max(1, round(1 / share))
+    if parts > rounds:
+        raise ValueError(f"{rounds} rounds of 1/{parts} of the training documents leave some out")
     for turn in range(rounds):
         shared = spark.sparkContext.broadcast((shares, weights))
 

@@ -5,8 +5,8 @@ each kind by ``seq``, and the numbers of failures since its last success and of
 empty successes since its last write.  Runs may therefore arrive in any order;
 nothing is read again, neither the log nor the entries of other jobs.
 
-Rows are combined where they are read, one delta per job and Arrow batch, so a
-job with a third of all runs sends one row per ten thousand runs to its task.
+Rows are combined where they are read, one delta per job and ``COMBINED`` runs, so a
+job with a third of all runs sends one row per hundred thousand runs to its task.
 """
 
 from __future__ import annotations
@@ -23,6 +23,10 @@ from tidelake.schemas import HEALTH_ENTRY
 
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Runs that a task combines at a time.
+COMBINED = 100_000
+#: Numbers of runs that a job's task gathers before it goes to the state.
+GATHERED = 100_000
 #: A run without a number comes before all others.
 _FIRST = -(1 << 63)
 
@@ -69,6 +73,19 @@ _NAMES = [field.name for field in _STATE.fields]
 _NEW = {name: 0 for name in (*_COUNTS, "failed_since", "failed_seed", "empty_since", "empty_seed")}
 
 
+def _gathered(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Arrow batches put together until they have ``COMBINED`` rows."""
+    held, size = [], 0
+    for frame in frames:
+        held.append(frame)
+        size += len(frame)
+        if size >= COMBINED:
+            yield pd.concat(held, ignore_index=True)
+            held, size = [], 0
+    if size:
+        yield pd.concat(held, ignore_index=True)
+
+
 def _deltas(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One row per job of every batch: counters, newest runs, and what came after them."""
     for runs in frames:
@@ -100,6 +117,14 @@ def _deltas(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         )
 
 
+def _after(numbers: list[int], since: int | None) -> list[int]:
+    return list(numbers) if since is None else [seq for seq in numbers if seq > since]
+
+
+def _combined(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    return _deltas(_gathered(frames))
+
+
 class _JobHealth(StatefulProcessor):
     """Merges deltas into a job's entry and emits the entry after the batch."""
 
@@ -113,11 +138,12 @@ class _JobHealth(StatefulProcessor):
         return dict(zip(_NAMES, found)) if found is not None else dict.fromkeys(_NAMES) | _NEW
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        """Deltas meet here first: every access to the state is a call to another process."""
         held = self._held()
+        moved, fresh = set(), {streak: [] for streak in _STREAKS}
         for delta in rows:
             for name in _COUNTS:
                 held[name] += delta[name]
-            moved = set()
             for mark, values in _MARKS.items():
                 seq, known = delta[f"{mark}_seq"], held[f"{mark}_seq"]
                 if seq is not None and (known is None or seq >= known):
@@ -126,14 +152,24 @@ class _JobHealth(StatefulProcessor):
                         held[f"{mark}_{value}"] = delta[f"{mark}_{value}"]
                     moved.add(mark)
             for streak, mark in _STREAKS.items():
-                self._advance(held, streak, held[f"{mark}_seq"], mark in moved, delta[streak])
+                fresh[streak].extend(_after(delta[streak], held[f"{mark}_seq"]))
+            if sum(map(len, fresh.values())) >= GATHERED:
+                self._settle(held, moved, fresh)
+                moved, fresh = set(), {streak: [] for streak in _STREAKS}
+        self._settle(held, moved, fresh)
         self._entry.update(tuple(held[name] for name in _NAMES))
         yield Row("job", *_NAMES)(key[0], *[held[name] for name in _NAMES])
 
+    def _settle(self, held: dict, moved: set[str], fresh: dict[str, list[int]]) -> None:
+        for streak, mark in _STREAKS.items():
+            since = held[f"{mark}_seq"]
+            self._advance(held, streak, since, mark in moved, _after(fresh[streak], since))
+
     def _advance(self, held: dict, streak: str, since: int | None, moved: bool, numbers: list[int]) -> None:
-        """Forget what lies before the mark, and add what the delta brings after it."""
+        """Forget what lies before the mark, and add ``numbers``, which lie after it."""
         pending = self._pending[streak]
         since_name, most = f"{streak}_since", f"{streak}_max"
+        fresh = [(seq,) for seq in numbers]
         if moved:
             held[f"{streak}_seed"] = 0
             if held[since_name]:
@@ -143,10 +179,9 @@ class _JobHealth(StatefulProcessor):
                 if kept:
                     pending.put(kept)
                 held[since_name] = len(kept)
-        fresh = [(seq,) for seq in numbers if since is None or seq > since]
         if fresh:
             pending.appendList(fresh)
-            top = max(seq for (seq,) in fresh)
+            top = max(numbers)
             held[most] = top if held[most] is None else max(held[most], top)
             held[since_name] += len(fresh)
 
@@ -252,7 +287,7 @@ def health_updates(run_log: DataFrame, seed: DataFrame | None = None) -> DataFra
         flag(worked & (F.col("added") > 0)).alias("wrote"),
     )
     states = (
-        runs.mapInPandas(_deltas, _DELTA)
+        runs.mapInPandas(_combined, _DELTA)
         .groupBy("job")
         .transformWithState(
             _JobHealth(),

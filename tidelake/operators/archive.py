@@ -82,6 +82,11 @@ def near_partitions(parts: DataFrame, most: int = MOST_RANGES) -> Column:
     return F.expr(" OR ".join(near) or "false")
 
 
+def _by_shuffle(stored: DataFrame) -> DataFrame:
+    """Stored keys that a join must not broadcast: their files are small, but in memory they are many times as large."""
+    return stored.hint("merge")
+
+
 def _write(
     snapshots: DataFrame, root: str, dataset: str, shape, order: Sequence[Column | str], sort
 ) -> WriteResult:
@@ -102,7 +107,7 @@ def _write(
         delta = first
         new = first.select(*MERGE_KEY)
         if path_exists(spark, path):
-            stored = read_archive(spark, root, dataset).where(near).select(*MERGE_KEY)
+            stored = _by_shuffle(read_archive(spark, root, dataset).where(near).select(*MERGE_KEY))
             new = new.join(stored, MERGE_KEY, "left_anti")
             delta = first.join(stored, MERGE_KEY, "left_anti")
         counts = new.groupBy(*PARTITION_COLUMNS).agg(F.count("*").alias("added"))
@@ -129,7 +134,7 @@ def _write(
 def verify_stored(expected: DataFrame, archive: DataFrame) -> None:
     """Fail unless every expected key is stored, and stored exactly once."""
     stored = archive.groupBy(*MERGE_KEY).agg(F.count("*").alias("copies"))
-    checked = expected.select(*MERGE_KEY).join(stored, MERGE_KEY, "left")
+    checked = expected.select(*MERGE_KEY).join(_by_shuffle(stored), MERGE_KEY, "left")
     verdict = checked.agg(
         F.count_if(F.col("copies").isNull()).alias("missing"),
         F.count_if(F.col("copies") > 1).alias("repeated"),

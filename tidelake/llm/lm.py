@@ -31,7 +31,10 @@ TRAIN_SHARE = 1 / ROUNDS
 #: Tokens after which a long document's state starts anew in training, so that lanes end together; scoring carries it on.
 PIECE = 4096
 ADDED = 0.1  # to every count, fixed
+#: Bytes of short texts that are cut into words at once.
+TOGETHER = 1 << 16
 
+_SPACE = np.full(1, 0x20, np.uint8)
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, 9, 10, 11, 12, 13]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -40,19 +43,19 @@ _LOWER[65:91] += 32
 END = 1 << 16
 
 
-def tokens_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, code) of each word in order, A-Z lowered.  ``code`` is the word's first two bytes, folded into the hash."""
+def tokens_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, code, place of its first byte) of each word in order, A-Z lowered.  ``code`` is the word's first two bytes, folded into the hash."""
     low = _LOWER[data]
     word = ~_BLANK[low]
     edge = np.flatnonzero(np.diff(np.concatenate([[False], word, [False]]).astype(np.int8)))
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int32), starts
     sums = prefix_hashes(low)
     hashes = hashes_of(sums, starts, ends - starts)
     second = np.where(ends - starts > 1, low[np.minimum(starts + 1, len(low) - 1)], 0).astype(np.int32)
     codes = low[starts].astype(np.int32) * 256 + second
-    return hashes ^ (codes.astype(np.uint64) << np.uint64(47)), codes
+    return hashes ^ (codes.astype(np.uint64) << np.uint64(47)), codes, starts
 
 
 @dataclass
@@ -65,12 +68,25 @@ class Tokens:
 
     @staticmethod
     def of(texts: list[np.ndarray]) -> Tokens:
-        parts = [tokens_of(t) for t in texts]
-        end_h, end_c = np.full(1, END << 47, np.uint64), np.full(1, END, np.int32)
-        hashes = [x for h, _ in parts for x in (h, end_h)]
-        codes = [x for _, c in parts for x in (c, end_c)]
-        offsets = np.cumsum([0, *(len(h) + 1 for h, _ in parts)])
-        return Tokens(np.concatenate(hashes or [end_h[:0]]), np.concatenate(codes or [end_c[:0]]), offsets)
+        parts, counts, first = [], [], 0
+        # Short texts are taken together, a blank after each: the calls cost more than their bytes.
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        while first < len(texts):
+            last = max(first + 1, int(np.searchsorted(ends, (ends[first - 1] if first else 0) + TOGETHER, side="right")))
+            some = texts[first:last]
+            hashes, codes, starts = tokens_of(np.concatenate([x for t in some for x in (t, _SPACE)]))
+            cuts = np.cumsum([len(t) + 1 for t in some])
+            parts.append((hashes, codes))
+            counts.append(np.diff(np.searchsorted(starts, cuts), prepend=0))
+            first = last
+        words = np.concatenate(counts or [np.zeros(0, np.int64)])
+        offsets = np.concatenate([[0], np.cumsum(words + 1)])
+        hashes, codes = np.full(offsets[-1], END << 47, np.uint64), np.full(offsets[-1], END, np.int32)
+        word = np.ones(offsets[-1], bool)
+        word[offsets[1:] - 1] = False
+        if parts:
+            hashes[word], codes[word] = (np.concatenate(column) for column in zip(*parts, strict=True))
+        return Tokens(hashes, codes, offsets)
 
     def distinct(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(hash, code, which): distinct words in order of their hash, and the word of every token."""
